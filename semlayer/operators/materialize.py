@@ -76,11 +76,13 @@ def materialize_sql(spark: SparkSession, text: str, target: str) -> Written:
     return Written(target, "view", None, schema_columns(spark.table(target)), _since(started))
 
 
-def write_files(frame: DataFrame, path: str, file_format: str = "parquet") -> int:
+def write_files(
+    frame: DataFrame, path: str, file_format: str = "parquet", **options: str
+) -> int:
     """Write a new folder and return its row count, counted by the writing job itself."""
     observation = Observation()
     counted = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(file_format).mode("errorifexists").save(path)
+    counted.write.format(file_format).options(**options).mode("errorifexists").save(path)
     return observation.get["rows"]
 
 
