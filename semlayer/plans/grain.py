@@ -90,12 +90,15 @@ class GrainPlan:
 
     def contributions(self) -> DataFrame:
         """Rows of key columns and partial sums ``atom_name(i)``; all groups occur in them."""
-        homes: dict[Path, list[int]] = {}
+        everything = _HomePlan(self, self.root, list(range(len(self.atoms))))
+        if not self.fans_out():
+            return everything.one_row_contributions()
+        if everything.sums_downward():
+            return everything.downward_contributions()
+        homes: dict[Path, list[int]] = {} if self.atoms else {self.root: []}
         for index, atom in enumerate(self.atoms):
             homes.setdefault(atom.home, []).append(index)
         frames = [_HomePlan(self, home, indexes).contributions() for home, indexes in homes.items()]
-        if not frames:
-            frames = [_HomePlan(self, self.root, []).contributions()]
         union = frames[0]
         for frame in frames[1:]:
             union = union.unionByName(frame, allowMissingColumns=True)
@@ -184,16 +187,19 @@ class _HomePlan:
     def _check_values(self, atoms: list[Atom]) -> None:
         for atom in atoms:
             for path in atom.value.paths if atom.value else ():
-                below = path[len(self.home):]
-                steps = [path[: len(self.home) + i + 1] for i in range(len(below))]
-                if path[: len(self.home)] != self.home or any(
-                    self.plan.kind(step) != "one" for step in steps
-                ):
+                if not self.one_per_row(atom.home, path):
                     raise ValueError(
-                        f"a measure of '{self.source.at(self.home).name}' cannot sum fields of "
-                        f"'{'.'.join(path)}', which has no single row per row of it"
+                        f"a measure of '{self.source.at(atom.home).name}' cannot sum fields of "
+                        f"'{'.'.join(path) or self.source.name}', which has no single row per row "
+                        "of it"
                     )
 
+    def one_per_row(self, home: Path, path: Path) -> bool:
+        """Whether each row of ``home`` has at most one row of ``path`` below it."""
+        return path[: len(home)] == home and all(
+            self.plan.kind(step) == "one" for step in closed([path], home) - {home}
+        )
+
     def _needed_fields(self) -> dict[Path, set[str]]:
         bounds = [*self.plan.keys.values(), *self.plan.filters, *self.atom_bounds]
         bounds += [bound for pairs in self.edges.values() for pair in pairs for bound in pair]
@@ -222,10 +228,9 @@ class _HomePlan:
         for child in self.children(path):
             if child != skip:
                 side = self.below(child)
-                if self.plan.kind(child) == "one":
-                    side = self.with_join_key(side, child)
-                else:
-                    side = self.reduced(side, self.child_key(child))
+                side = self.with_join_key(side, child)
+                if self.plan.kind(child) != "one":
+                    side = self.reduced(side, self.there_names(child))
                 part = self.attach(part, side, child)
         return part
 
@@ -234,42 +239,50 @@ class _HomePlan:
         parent = path[:-1]
         part = self.below(parent, skip=path)
         if parent != self.root:
-            part = self.attach_keyed(self.above(parent), self.with_join_key(part, parent), parent)
-        part = self.evaluated(part)
-        return self.reduced(part, self.parent_key(path), unique=self.unique_key(parent, path, part))
-
-    def unique_key(self, parent: Path, child: Path, part: Part) -> bool:
-        """Whether the parent side has one row per join key already, by its declared key."""
-        source = self.source.at(parent)
-        plain = {here.plain for here, _ in self.edges[child]}
-        one_row_each = parent == self.root and all(
-            self.plan.kind(path) == "one" for path in part.paths - {self.root}
-        )
-        return one_row_each and bool(source.key) and {(parent, c) for c in source.key} <= plain
-
-    def child_key(self, path: Path) -> list[Column]:
-        pairs = self.edges[path]
+            part = self.attach(self.above(parent), self.with_join_key(part, parent), parent)
+        part = self.with_parent_key(self.evaluated(part), path)
+        unique = parent == self.root and self.one_each(part) and self.holds_key(path)
+        return self.reduced(part, self.here_names(path), unique)
+
+    def one_each(self, part: Part) -> bool:
+        """Whether a part of the root has no joined side but single rows."""
+        return all(self.plan.kind(path) == "one" for path in part.paths - {self.root})
+
+    def holds_key(self, path: Path) -> bool:
+        """Whether the parent's side of a join holds its primary key, so no two rows share it."""
+        parent = self.source.at(path[:-1])
+        plain = {here.plain for here, _ in self.edges[path]}
+        return bool(parent.key) and {(path[:-1], column) for column in parent.key} <= plain
+
+    def there_names(self, path: Path) -> list[str]:
+        return [column_name(path, f"__there{i}") for i in range(len(self.edges[path]))]
+
+    def here_names(self, path: Path) -> list[str]:
+        """Names of the parent's join columns; a plain field keeps its own, and its partitioning."""
         return [
-            there.column.alias(column_name(path, f"__there{i}")) for i, (_, there) in enumerate(pairs)
+            column_name(*here.plain) if here.plain else column_name(path, f"__here{i}")
+            for i, (here, _) in enumerate(self.edges[path])
         ]
 
-    def parent_key(self, path: Path) -> list[Column]:
-        pairs = self.edges[path]
-        return [here.column.alias(column_name(path, f"__here{i}")) for i, (here, _) in enumerate(pairs)]
-
     def with_join_key(self, part: Part, path: Path) -> Part:
-        return replace(part, frame=part.frame.select("*", *self.child_key(path)))
+        keys = [
+            there.column.alias(name)
+            for name, (_, there) in zip(self.there_names(path), self.edges[path])
+        ]
+        return replace(part, frame=part.frame.select("*", *keys))
 
-    def attach(self, part: Part, side: Part, path: Path) -> Part:
-        """Left-join a keyed side to a part that holds the parent node."""
-        keyed = replace(part, frame=part.frame.select("*", *self.parent_key(path)))
-        return self.attach_keyed(keyed, side, path)
+    def with_parent_key(self, part: Part, path: Path) -> Part:
+        computed = [
+            here.column.alias(name)
+            for name, (here, _) in zip(self.here_names(path), self.edges[path])
+            if not here.plain
+        ]
+        return replace(part, frame=part.frame.select("*", *computed)) if computed else part
 
-    def attach_keyed(self, keyed: Part, side: Part, path: Path) -> Part:
-        here = [column_name(path, f"__here{i}") for i in range(len(self.edges[path]))]
-        there = [column_name(path, f"__there{i}") for i in range(len(self.edges[path]))]
-        joined = keyed.joined(side, list(zip(here, there)))
-        return replace(joined, frame=joined.frame.drop(*here))
+    def attach(self, part: Part, side: Part, path: Path) -> Part:
+        """Left-join a side that has its join key to a part that holds the parent node."""
+        part = self.with_parent_key(part, path)
+        return part.joined(side, list(zip(self.here_names(path), self.there_names(path))))
 
     # -- reducing -------------------------------------------------------------------------
 
@@ -293,13 +306,10 @@ class _HomePlan:
             finer = finer or bool(read)
         return fields, finer
 
-    def reduced(self, part: Part, join_key: list[Column], unique: bool = False) -> Part:
+    def reduced(self, part: Part, join_key: list[str], unique: bool = False) -> Part:
         fields, finer = self.pending(part)
-        frame = part.frame.select(
-            *join_key,
-            *(quoted(key) for key in sorted(part.keys)),
-            *(quoted(column_name(*f)) for f in sorted(fields)),
-        )
+        names = [*join_key, *sorted(part.keys), *(column_name(*f) for f in sorted(fields))]
+        frame = part.frame.select(*map(quoted, dict.fromkeys(names)))
         if unique and not part.repeats:
             return replace(part, frame=frame)
         return replace(part, frame=frame.distinct(), repeats=part.repeats or finer)
@@ -325,9 +335,12 @@ class _HomePlan:
 
     # -- contributions --------------------------------------------------------------------
 
-    def contribution_columns(self, frame: DataFrame) -> list[Column]:
+    def contribution_columns(
+        self, frame: DataFrame, indexes: Sequence[int] | None = None
+    ) -> list[Column]:
         columns = []
-        for index in self.indexes:
+        indexes = self.indexes if indexes is None else indexes
+        for index in indexes:
             atom = self.plan.atoms[index]
             value = F.lit(1).cast("bigint") if atom.value is None else atom.value.column
             guard = quoted(_present(self.home)) if self.guard_home else None
@@ -338,17 +351,17 @@ class _HomePlan:
                 value = F.when(guard, value)
             columns.append(value.alias(atom_name(index)))
         if columns:
-            for index, type_of in zip(self.indexes, frame.select(*columns).schema.fields):
+            for index, type_of in zip(indexes, frame.select(*columns).schema.fields):
                 self.plan.sum_types[index] = _sum_type(type_of.dataType)
         return columns
 
-    def partial_sums(self, frame: DataFrame, by: list[Column]) -> DataFrame:
-        """Add contributions up by some columns; the sums keep their names."""
-        if not self.indexes:
-            return frame.select(*by).distinct()
-        return frame.groupBy(*by).agg(
-            *(F.sum(quoted(atom_name(i))).alias(atom_name(i)) for i in self.indexes)
-        )
+    def partial_sums(self, frame: DataFrame, by: Sequence[str]) -> DataFrame:
+        """Add the contributions of a frame up by some columns; the sums keep their names."""
+        names = [name for name in map(atom_name, self.indexes) if name in frame.columns]
+        if not names:
+            return frame.select(*map(quoted, by)).distinct()
+        sums = [F.sum(quoted(name)).alias(name) for name in names]
+        return frame.groupBy(*map(quoted, by)).agg(*sums)
 
     def contributions(self) -> DataFrame:
         if self.home == self.root:
@@ -360,7 +373,7 @@ class _HomePlan:
         if not outer.repeats and not inner.repeats and len(outer.filters) == len(self.plan.filters):
             return self.summed_before_join(outer, inner)
         inner = self.with_join_key(inner, self.home)
-        return self.finished(self.evaluated(self.attach_keyed(outer, inner, self.home)))
+        return self.finished(self.evaluated(self.attach(outer, inner, self.home)))
 
     def finished(self, part: Part) -> DataFrame:
         """Contributions of a complete part; a home row that repeats within a group counts once."""
@@ -382,16 +395,63 @@ class _HomePlan:
 
     def summed_before_join(self, outer: Part, inner: Part) -> DataFrame:
         """Sum the home per join key, then join the sums to the distinct outer rows."""
-        fields, _ = self.pending(inner, with_atoms=False)
-        raw = [quoted(column_name(*f)) for f in sorted(fields)]
-        there = self.child_key(self.home)
-        sums = self.contribution_columns(inner.frame)
-        names = [column_name(self.home, f"__there{i}") for i in range(len(there))]
-        rows = inner.frame.select(*there, *raw, *sums)
-        side = replace(inner, frame=self.partial_sums(rows, [*map(quoted, names), *raw]))
-        part = self.evaluated(self.attach_keyed(outer, side, self.home))
-        keys = [quoted(key) for key in self.plan.keys]
-        return part.frame.select(*keys, *(quoted(atom_name(i)) for i in self.indexes))
+        inner = replace(
+            inner, frame=inner.frame.select("*", *self.contribution_columns(inner.frame))
+        )
+        side = self.summed_side(inner, self.home)
+        return self.selected(self.evaluated(self.attach(outer, side, self.home)))
+
+    def summed_side(self, part: Part, path: Path) -> Part:
+        """Contributions of a side, added up per join key and the group keys found there."""
+        fields, _ = self.pending(part, with_atoms=False)
+        part = self.with_join_key(part, path)
+        names = [*self.there_names(path), *(column_name(*f) for f in sorted(fields))]
+        return replace(part, frame=self.partial_sums(part.frame, names))
+
+    def selected(self, part: Part) -> DataFrame:
+        return part.frame.select(
+            *map(quoted, self.plan.keys), *(quoted(atom_name(i)) for i in self.indexes)
+        )
+
+    def sums_downward(self) -> bool:
+        """Whether every home can be summed per join key on the way up to the root, in one pass.
+
+        True where homes hang below the root by one-to-many joins from a primary key, and nothing
+        tells rows of one home apart across a join that fans it out.
+        """
+        plan = self.plan
+        if any(
+            not self.one_per_row(self.root, path)
+            for bound in [*plan.filters, *(b for b in plan.keys.values() if not b.plain)]
+            for path in bound.paths
+        ):
+            return False
+        for atom in plan.atoms:
+            if any(
+                plan.kind(step) != "many" or not self.holds_key(step)
+                for step in closed([atom.home], self.root) - {self.root}
+            ):
+                return False
+            if atom.condition is not None and any(
+                not self.one_per_row(atom.home, path) for path in atom.condition.paths
+            ):
+                return False
+        return True
+
+    def downward_contributions(self) -> DataFrame:
+        return self.selected(self.evaluated(self.summed_tree(self.root)))
+
+    def summed_tree(self, path: Path) -> Part:
+        part = self.node(path)
+        for child in self.children(path):
+            if self.plan.kind(child) == "one":
+                side = self.with_join_key(self.below(child), child)
+            else:
+                side = self.summed_side(self.summed_tree(child), child)
+            part = self.attach(part, side, child)
+        own = [index for index in self.indexes if self.plan.atoms[index].home == path]
+        columns = self.contribution_columns(part.frame, own)
+        return replace(part, frame=part.frame.select("*", *columns))
 
     def one_row_contributions(self) -> DataFrame:
         """No join fans out: join small sides first, and add up before a join that shuffles.
@@ -418,17 +478,11 @@ class _HomePlan:
                 break
             path = waiting.pop(0)
             if summed and not waiting and not part.keys and not self.pending(part, False)[0]:
-                here = self.parent_key(path)
-                names = [column_name(path, f"__here{i}") for i in range(len(here))]
-                sums = [quoted(atom_name(i)) for i in self.indexes]
-                rows = part.frame.select(*here, *sums)
-                keyed = replace(part, frame=self.partial_sums(rows, list(map(quoted, names))))
-                part = self.attach_keyed(keyed, self.with_join_key(self.node(path), path), path)
-            else:
-                part = self.attach(part, self.with_join_key(self.node(path), path), path)
+                part = self.with_parent_key(part, path)
+                part = replace(part, frame=self.partial_sums(part.frame, self.here_names(path)))
+            part = self.attach(part, self.with_join_key(self.node(path), path), path)
             waiting += self.children(path)
-        keys = [quoted(key) for key in self.plan.keys]
-        return part.frame.select(*keys, *(quoted(atom_name(i)) for i in self.indexes))
+        return self.selected(part)
 
     def large(self, path: Path) -> bool:
         if path not in self._large:
