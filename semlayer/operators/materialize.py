@@ -7,6 +7,7 @@ at the new folder, or, where its schema changes, swapped by rename.
 
 from __future__ import annotations
 
+import re
 import time
 import uuid
 from dataclasses import dataclass
@@ -58,10 +59,9 @@ def materialize(
         return Written(target, mode, None, schema_columns(frame), _since(started))
 
     spark = frame.sparkSession
-    if _is_temporary(spark, target):
-        raise ValueError(f"'{target}' is a session view and would hide the table; drop it first")
+    _check_target(spark, target)
     root = folder or spark.conf.get("spark.sql.warehouse.dir")
-    location = f"{root.rstrip('/')}/{target.replace('`', '')}/run-{uuid.uuid4().hex}"
+    location = f"{root.rstrip('/')}/{target}/run-{uuid.uuid4().hex}"
     rows = write_files(frame, location, file_format)
     previous = _publish(spark, target, location, file_format, frame.schema)
     return Written(
@@ -101,6 +101,20 @@ def to_arrow(frame: DataFrame, row_limit: int) -> pa.Table:
     return frame.limit(row_limit).toArrow()
 
 
+def _check_target(spark: SparkSession, target: str) -> None:
+    """Refuse a target that could not be published, before anything is written."""
+    parts = target.split(".")
+    in_session_catalog = len(parts) < 3 or parts[0] == "spark_catalog"
+    if in_session_catalog and not all(re.fullmatch(r"\w+", part, re.ASCII) for part in parts):
+        raise ValueError(f"'{target}': table names hold letters, digits and underscores only")
+    if len(parts) > 1 and not spark.catalog.databaseExists(".".join(parts[:-1])):
+        raise ValueError(f"'{target}' names a schema that does not exist")
+    if spark.catalog.tableExists(target):
+        found = spark.catalog.getTable(target)
+        if found.isTemporary or found.tableType == "VIEW":
+            raise ValueError(f"'{target}' is a view; drop it to make it a table")
+
+
 def _publish(
     spark: SparkSession, target: str, location: str, file_format: str, schema: StructType
 ) -> str | None:
@@ -117,11 +131,11 @@ def _publish(
     mark = uuid.uuid4().hex[:8]
     staged, retired = f"{target}__new_{mark}", f"{target}__old_{mark}"
     _create(spark, staged, location, file_format, schema)
-    spark.sql(f"ALTER TABLE {_quoted(target)} RENAME TO {_quoted(retired)}")
+    _rename(spark, target, retired)
     try:
-        spark.sql(f"ALTER TABLE {_quoted(staged)} RENAME TO {_quoted(target)}")
+        _rename(spark, staged, target)
     except Exception:
-        spark.sql(f"ALTER TABLE {_quoted(retired)} RENAME TO {_quoted(target)}")
+        _rename(spark, retired, target)
         raise
     spark.sql(f"DROP TABLE {_quoted(retired)}")
     return old_location
@@ -131,21 +145,18 @@ def _create(spark, table: str, location: str, file_format: str, schema: StructTy
     spark.catalog.createTable(table, path=location, source=file_format, schema=schema)
 
 
+def _rename(spark: SparkSession, table: str, name: str) -> None:
+    inside_catalog = ".".join(name.split(".")[-2:])
+    spark.sql(f"ALTER TABLE {_quoted(table)} RENAME TO {_quoted(inside_catalog)}")
+
+
 def _stored_as(spark: SparkSession, table: str) -> tuple[str, str]:
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {_quoted(table)}")
     facts = {row.col_name: row.data_type for row in described.collect()}
-    if facts.get("Type") == "VIEW":
-        raise ValueError(f"'{table}' is a view; drop it to make it a table")
     return facts["Provider"].lower(), facts["Location"]
 
 
-def _is_temporary(spark: SparkSession, name: str) -> bool:
-    return "." not in name and spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary
-
-
 def _quoted(name: str) -> str:
-    if "`" in name:
-        return name
     return ".".join(f"`{part}`" for part in name.split("."))
 
 
