@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+@lru_cache(maxsize=4)
+def model_of(spark: SparkSession, folder: str) -> Model:
+    """A model is declared once per session and folder and serves every query on it."""
+    return Model(spark, folder)
+
+
 def registered(function: Callable[[Model], DataFrame]) -> Callable[[Model], DataFrame]:
-    QUERIES[function.__name__] = lambda spark, folder: function(Model(spark, folder))
+    QUERIES[function.__name__] = lambda spark, folder: function(model_of(spark, folder))
     return function
 
 

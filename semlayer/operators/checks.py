@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from semlayer.functions.measures import count
@@ -115,17 +116,10 @@ def run_suite(spark: SparkSession, checks: Iterable[Check]) -> DataFrame:
 
 def fused_counts(source: Source, conditions: Sequence[Expression]) -> DataFrame:
     """One row with one count per condition, from one scan that skips rows no condition wants."""
-    bounds = [bind(source, condition) for condition in conditions]
-    wanted = bounds[0].column
-    for bound in bounds[1:]:
-        wanted = wanted | bound.column
-    plan = GrainPlan(source, {f"__bad{i}": bound for i, bound in enumerate(bounds)}, [], [])
-    counts = [F.count_if(quoted(f"__bad{i}")).alias(f"count{i}") for i in range(len(bounds))]
-    if not any(bound.paths - {()} for bound in bounds):
-        return source.frame.filter(wanted).agg(
-            *(F.count_if(bound.column).alias(f"count{i}") for i, bound in enumerate(bounds))
-        )
-    return plan.rows().agg(*counts)
+    bad = {f"bad{i}": bind(source, condition) for i, condition in enumerate(conditions)}
+    rows = GrainPlan(source, bad, [], []).rows()
+    wanted = reduce(Column.__or__, map(quoted, bad))
+    return rows.filter(wanted).agg(*(F.count_if(quoted(name)).alias(name) for name in bad))
 
 
 def _shared_scans(checks: Sequence[Check]) -> list[list[int]]:

@@ -3,47 +3,50 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from semlayer.operators.materialize import write_files
 from semlayer.sources.source import Source
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder the session names; a local session without one gets a temporary folder."""
-    context = spark.sparkContext
-    folder = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the session names for checkpoints; a local session may go without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoints-")
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def transitive_closure(edges: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:
     """All pairs (src, dst) joined by a path of one or more edges; cycles end by themselves.
 
-    Each round extends only the pairs found in the round before, and keeps the new ones in a
-    checkpoint: a lost executor costs a task, not the rounds so far.
+    Each round extends only the pairs the round before found, and writes those not seen yet.  The
+    written rounds are the result, so a lost executor costs its tasks and not the rounds so far.
     """
     spark = edges.sparkSession
-    checkpoint_folder(spark)
-    steps = (
-        edges.select(edges[source].alias("src"), edges[target].alias("dst"))
-        .dropna()
-        .distinct()
-        .checkpoint()
-    )
-    hops = steps.selectExpr("src AS dst", "dst AS next")
-    found = frontier = steps
-    while not frontier.isEmpty():
+    folder = f"{shared_folder(spark)}/closure-{uuid.uuid4().hex}"
+    steps = edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).dropna().distinct()
+    schema = steps.schema
+
+    def written(rounds: Iterable[str]) -> DataFrame:
+        return spark.read.schema(schema).parquet(*rounds)
+
+    rounds = [f"{folder}/round-0"]
+    new_pairs = write_files(steps, rounds[0])
+    hops = written(rounds).selectExpr("src AS dst", "dst AS next")
+    while new_pairs:
+        frontier = written(rounds[-1:])
         reached = frontier.join(hops, "dst").selectExpr("src", "next AS dst").distinct()
-        frontier = reached.join(found, ["src", "dst"], "left_anti").checkpoint()
-        found = found.unionByName(frontier)
-    return found
+        unseen = reached.join(written(rounds), ["src", "dst"], "left_anti")
+        rounds.append(f"{folder}/round-{len(rounds)}")
+        new_pairs = write_files(unseen, rounds[-1])
+    return written(rounds)
 
 
 def source_edges(spark: SparkSession, sources: Iterable[Source]) -> DataFrame:
