@@ -164,6 +164,12 @@ ORACLE: dict[str, str] = {
                count(*) AS total_orders
         FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 40)
         GROUP BY ALL""",
+    "join_many_spanning_filter": """
+        SELECT o_orderpriority AS priority, cast(sum(o_totalprice) AS decimal(38,2)) AS total_revenue,
+               count(*) AS total_orders, cast(sum(n) AS bigint) AS lines
+        FROM (SELECT o_orderkey, o_orderpriority, o_totalprice, count(*) AS n
+              FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_extendedprice * 4 > o_totalprice
+              GROUP BY ALL) GROUP BY ALL""",
     "join_many_computed_key": """
         SELECT ship_year, cast(sum(o_totalprice) AS decimal(38,2)) AS total_revenue, count(*) AS total_orders
         FROM (SELECT DISTINCT o_orderkey, o_totalprice, cast(year(l_shipdate) AS integer) AS ship_year

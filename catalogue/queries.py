@@ -270,6 +270,18 @@ def join_many_root_filter(m: Model) -> DataFrame:
     return rounded(m.orders_with_lines.query(returned), total_revenue=2)
 
 
+@registered
+def join_many_spanning_filter(m: Model) -> DataFrame:
+    """The filter compares both sides of the join, so orders are deduplicated by their key."""
+    dominated = (
+        view()
+        .where(lambda o: o.items.l_extendedprice * 4 > o.o_totalprice)
+        .group_by("priority")
+        .aggregate("total_revenue", "total_orders", "items.lines")
+    )
+    return rounded(m.orders_with_lines.query(dominated), total_revenue=2)
+
+
 @registered
 def join_many_computed_key(m: Model) -> DataFrame:
     by_year = (
@@ -297,7 +309,7 @@ def join_many_child_measure(m: Model) -> DataFrame:
 def join_many_child_filter(m: Model) -> DataFrame:
     big = (
         view()
-        .where(lambda o: (o.items.l_quantity > 25) & (o.o_totalprice > 100000))
+        .where(lambda o: o.items.l_quantity > 25, lambda o: o.o_totalprice > 100000)
         .group_by("priority", "items.l_returnflag")
         .aggregate("items.quantity", "items.lines")
     )

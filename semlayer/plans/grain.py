@@ -7,8 +7,9 @@ fanned-out rows.  Seen from the home,
 
 * a side that can fan it out is first reduced to its distinct join key and group key values;
 * a home below the root is first added up per join key, and joined to those distinct values;
-* only where a filter or computed key needs more columns than that, so that a home row can meet
-  one group several times, are rows deduplicated by the home's primary key.
+* a filter on one side that rejects missing rows runs on that side before any of this;
+* only where another filter or a computed key needs more columns than that, so that a home row can
+  meet one group several times, are rows deduplicated by the home's primary key.
 
 Every reduction aggregates map-side before its shuffle, so a join key that holds a large share of
 the rows arrives at the join as few rows.  Each plan yields contributions, rows of group keys and
@@ -19,6 +20,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import cached_property
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,12 @@ def closed(paths, root: Path) -> set[Path]:
     return {root} | {path[:depth] for path in paths for depth in range(len(root), len(path) + 1)}
 
 
+def common_path(paths) -> Path:
+    """The longest path all of some paths start with; the root of none."""
+    steps = zip(*paths) if paths else ()
+    return tuple(step[0] for step in takewhile(lambda step: len(set(step)) == 1, steps))
+
+
 @dataclass(frozen=True, eq=False)
 class Part:
     """A joined piece of the tree: its frame, the paths in it, what was evaluated on it."""
@@ -45,12 +54,12 @@ class Part:
     filters: frozenset[int] = frozenset()
     repeats: bool = False  # a home row may meet one group more than once
 
-    def joined(self, other: Part, on: Sequence[tuple[str, str]]) -> Part:
+    def joined(self, other: Part, on: Sequence[tuple[str, str]], how: str) -> Part:
         condition = None
         for left, right in on:
             equal = quoted(left) == quoted(right)
             condition = equal if condition is None else condition & equal
-        frame = self.frame.join(other.frame, condition, "left").drop(*(right for _, right in on))
+        frame = self.frame.join(other.frame, condition, how).drop(*(right for _, right in on))
         return Part(
             frame,
             self.paths | other.paths,
@@ -76,6 +85,40 @@ class GrainPlan:
         self.atoms = list(atoms)
         self.sum_types: dict[int, T.DataType] = {}
 
+    @cached_property
+    def early_filters(self) -> dict[Path, list[int]]:
+        """Filters that may run below the join that attaches their side, by that side's path.
+
+        A filter on one side of a join that fans out, which is not true for a missing row there,
+        keeps no row without a match: the side can be filtered first and joined inner.
+        """
+        found: dict[Path, list[int]] = {}
+        for index, bound in enumerate(self.filters):
+            top = common_path(bound.paths)
+            steps = closed(bound.paths, self.root) - {self.root}
+            if len(top) > len(self.root) and any(self.kind(step) != "one" for step in steps):
+                if self.rejects_missing(bound):
+                    found.setdefault(top, []).append(index)
+        return found
+
+    @cached_property
+    def required(self) -> set[Path]:
+        """Joins that drop rows without a match, because an early filter would."""
+        return closed(self.early_filters, self.root) - {self.root}
+
+    def rejects_missing(self, bound: Bound) -> bool:
+        """Whether a filter is not true where every field it reads is null."""
+        types = {path: self.source.at(path).frame.schema for path in bound.paths}
+        nulls = [
+            F.lit(None).cast(types[path][name].dataType).alias(column_name(path, name))
+            for path, name in bound.uses
+        ]
+        missing = self.source.frame.sparkSession.sql("SELECT 1").select(*nulls)
+        try:
+            return missing.filter(bound.column).isEmpty()
+        except Exception:  # it raises on nulls: leave it where the query put it
+            return False
+
     # -- result ---------------------------------------------------------------------------
 
     def fans_out(self) -> bool:
@@ -232,7 +275,18 @@ class _HomePlan:
                 if self.plan.kind(child) != "one":
                     side = self.reduced(side, self.there_names(child))
                 part = self.attach(part, side, child)
-        return part
+        return self.filtered_early(part, path)
+
+    def filtered_early(self, part: Part, path: Path) -> Part:
+        ready = [
+            index
+            for index in self.plan.early_filters.get(path, ())
+            if self.plan.filters[index].paths <= part.paths
+        ]
+        frame = part.frame
+        for index in ready:
+            frame = frame.filter(self.plan.filters[index].column)
+        return replace(part, frame=frame, filters=part.filters | set(ready))
 
     def above(self, path: Path) -> Part:
         """Distinct join keys towards ``path`` and group keys of the tree without its side."""
@@ -280,9 +334,10 @@ class _HomePlan:
         return replace(part, frame=part.frame.select("*", *computed)) if computed else part
 
     def attach(self, part: Part, side: Part, path: Path) -> Part:
-        """Left-join a side that has its join key to a part that holds the parent node."""
+        """Join a side that has its join key to a part that holds the parent node."""
         part = self.with_parent_key(part, path)
-        return part.joined(side, list(zip(self.here_names(path), self.there_names(path))))
+        how = "inner" if path in self.plan.required else "left"
+        return part.joined(side, list(zip(self.here_names(path), self.there_names(path))), how)
 
     # -- reducing -------------------------------------------------------------------------
 
@@ -370,7 +425,8 @@ class _HomePlan:
             return self.finished(self.evaluated(self.below(self.root)))
         outer = self.above(self.home)
         inner = self.below(self.home)
-        if not outer.repeats and not inner.repeats and len(outer.filters) == len(self.plan.filters):
+        all_applied = len(outer.filters | inner.filters) == len(self.plan.filters)
+        if not outer.repeats and not inner.repeats and all_applied:
             return self.summed_before_join(outer, inner)
         inner = self.with_join_key(inner, self.home)
         return self.finished(self.evaluated(self.attach(outer, inner, self.home)))
@@ -420,9 +476,11 @@ class _HomePlan:
         tells rows of one home apart across a join that fans it out.
         """
         plan = self.plan
+        early = {index for indexes in plan.early_filters.values() for index in indexes}
+        late = [bound for index, bound in enumerate(plan.filters) if index not in early]
         if any(
             not self.one_per_row(self.root, path)
-            for bound in [*plan.filters, *(b for b in plan.keys.values() if not b.plain)]
+            for bound in [*late, *(b for b in plan.keys.values() if not b.plain)]
             for path in bound.paths
         ):
             return False
@@ -449,6 +507,7 @@ class _HomePlan:
             else:
                 side = self.summed_side(self.summed_tree(child), child)
             part = self.attach(part, side, child)
+        part = self.filtered_early(part, path)
         own = [index for index in self.indexes if self.plan.atoms[index].home == path]
         columns = self.contribution_columns(part.frame, own)
         return replace(part, frame=part.frame.select("*", *columns))

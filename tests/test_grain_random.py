@@ -69,6 +69,7 @@ def value(row, path, field):
 class Predicate:
     def __init__(self, rng, paths):
         self.path = rng.choice(paths)
+        self.paths = [self.path]
         self.null = rng.random() < 0.3
         self.bound = rng.randrange(6)
 
@@ -81,6 +82,25 @@ class Predicate:
         return found is None if self.null else found is not None and found > self.bound
 
 
+class Either:
+    """A predicate over two paths, true when one of two predicates is (three-valued)."""
+
+    def __init__(self, rng, paths):
+        self.parts = [Predicate(rng, paths), Predicate(rng, paths)]
+        self.paths = [part.path for part in self.parts]
+
+    def column(self, scope):
+        left, right = (part.column(scope) for part in self.parts)
+        return left | right
+
+    def holds(self, row):
+        return any(part.holds(row) for part in self.parts)
+
+
+def random_filter(rng, paths):
+    return Either(rng, paths) if rng.random() < 0.3 else Predicate(rng, paths)
+
+
 class Relative(Predicate):
     """A predicate on a measure, written from the measure's home."""
 
@@ -116,7 +136,7 @@ def test_random_query(spark, seed):
         path = rng.choice(paths)
         computed = rng.random() < 0.3
         keys.append((f"key{i}", path, computed))
-    filters = [Predicate(rng, paths) for _ in range(rng.choice([0, 0, 1, 2]))]
+    filters = [random_filter(rng, paths) for _ in range(rng.choice([0, 1, 1, 2]))]
     measures = []
     for i in range(rng.choice([0, 1, 2, 3]) if keys else rng.choice([1, 2, 3])):
         home = rng.choice(paths)
@@ -147,7 +167,7 @@ def test_random_query(spark, seed):
                 measure = OfJoin(home, measure)
         query = query.aggregate(**{name: measure})
 
-    used = {p for _, p, _ in keys} | {f.path for f in filters}
+    used = {p for _, p, _ in keys} | {p for f in filters for p in f.paths}
     expected = {}
     rows = [r for r in joined(tables, closed({(), *used})) if all(f.holds(r) for f in filters)]
 
