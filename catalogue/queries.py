@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from catalogue.model import Model
 from semlayer import (
     Check,
+    Written,
     count,
     materialize,
     materialize_sql,
     primary_key_violations,
     read_file,
     run_suite,
+    shared_folder,
     sql_source,
     sum_of,
     table_source,
@@ -85,12 +87,13 @@ def _round_trip(m: Model, extension: str, **options: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
+    """Written results go to the folder all executors share."""
+    return f"{shared_folder(spark)}/written"
 
 
 @registered
 def catalog_table(m: Model) -> DataFrame:
-    materialize(m.table("supplier").frame, "default.semlayer_supplier")
+    stored(m, m.table("supplier").frame, "default.semlayer_supplier")
     source = table_source(m.spark, "spark_catalog.default.semlayer_supplier")
     balances = source.query(
         view().group_by("s_nationkey").aggregate(suppliers=count(), balance=sum_of("s_acctbal"))
@@ -479,9 +482,13 @@ def nest_in_groups(m: Model) -> DataFrame:
 # -- materialisation --------------------------------------------------------------------------
 
 
+def stored(m: Model, frame: DataFrame, target: str) -> Written:
+    return materialize(frame, target, folder=scratch(m.spark))
+
+
 @registered
 def materialized_table(m: Model) -> DataFrame:
-    materialize(view_customer_performance(m), "semlayer_customer_performance")
+    stored(m, view_customer_performance(m), "semlayer_customer_performance")
     return m.spark.table("semlayer_customer_performance")
 
 
@@ -504,7 +511,7 @@ def materialized_sql_view(m: Model) -> DataFrame:
 @registered
 def materialized_record(m: Model) -> DataFrame:
     """Schema and row count as the write reports them."""
-    written = materialize(m.orders.frame, "semlayer_orders")
+    written = stored(m, m.orders.frame, "semlayer_orders")
     rows = [(written.target_table, written.row_count, *column) for column in written.columns]
     return m.spark.createDataFrame(
         rows, "target_table string, row_count bigint, column_name string, column_type string"
@@ -513,7 +520,7 @@ def materialized_record(m: Model) -> DataFrame:
 
 @registered
 def downstream_digest(m: Model) -> DataFrame:
-    materialize(view_customer_performance(m), "semlayer_digest_input")
+    stored(m, view_customer_performance(m), "semlayer_digest_input")
     source = table_source(m.spark, "semlayer_digest_input")
     vip = count().where(lambda c: c.total_revenue > 2500000)
     return source.query(view().aggregate(vip_count=vip))

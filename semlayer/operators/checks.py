@@ -86,9 +86,10 @@ def run_check(check: Check) -> Row:
     """Run one check by itself; a check that cannot run has failed."""
     try:
         frame = check.result()
-        if any(column in frame.columns for column, _ in VERDICT_COLUMNS):
+        verdicts = [column for column, _ in VERDICT_COLUMNS if column in frame.columns]
+        if verdicts:
             # two rows settle the usual case, a global count; only longer results are counted
-            head = frame.limit(2).collect()
+            head = frame.select(*verdicts).limit(2).collect()
             first = head[0] if head else None
             rows = len(head) if len(head) < 2 else frame.count()
         else:

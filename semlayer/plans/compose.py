@@ -56,7 +56,7 @@ def ordered(frame: DataFrame, view: View) -> DataFrame:
     if view.row_limit is None and not view.order:
         return frame
     terms = view.ordering()
-    if view.row_limit is not None and view.order and not view.grouped:
+    if view.order and not view.grouped:  # the rest settles ties, and spreads them over tasks
         named = {name for name, _ in terms}
         terms += [
             (field.name, False)

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
 from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame
@@ -55,10 +55,7 @@ class Part:
     repeats: bool = False  # a home row may meet one group more than once
 
     def joined(self, other: Part, on: Sequence[tuple[str, str]], how: str) -> Part:
-        condition = None
-        for left, right in on:
-            equal = quoted(left) == quoted(right)
-            condition = equal if condition is None else condition & equal
+        condition = reduce(Column.__and__, (quoted(a) == quoted(b) for a, b in on))
         frame = self.frame.join(other.frame, condition, how).drop(*(right for _, right in on))
         return Part(
             frame,
@@ -336,8 +333,33 @@ class _HomePlan:
     def attach(self, part: Part, side: Part, path: Path) -> Part:
         """Join a side that has its join key to a part that holds the parent node."""
         part = self.with_parent_key(part, path)
-        how = "inner" if path in self.plan.required else "left"
-        return part.joined(side, list(zip(self.here_names(path), self.there_names(path))), how)
+        on = list(zip(self.here_names(path), self.there_names(path)))
+        if path in self.plan.required:
+            return part.joined(side, on, "inner")
+        may_be_hot = self.plan.kind(path) != "one" and len(side.frame.columns) > len(
+            on + [i for i in self.indexes if atom_name(i) in side.frame.columns]
+        )
+        if may_be_hot and shuffles_when_joined(side.frame):
+            return self.attach_splittable(part, side, on)
+        return part.joined(side, on, "left")
+
+    def attach_splittable(self, part: Part, side: Part, on: list[tuple[str, str]]) -> Part:
+        """A left join whose right side may hold many rows of one key.
+
+        Adaptive execution splits a hot key on either side of an inner join, but never on the right
+        of a left join: so rows with a match are joined inner, and the rest are found apart.
+        """
+        matched = part.joined(side, on, "inner")
+        there = [name for _, name in on]
+        keys = side.frame.select(*map(quoted, there)).distinct()
+        condition = reduce(Column.__and__, (quoted(a) == quoted(b) for a, b in on))
+        missing = [
+            F.lit(None).cast(field.dataType).alias(field.name)
+            for field in side.frame.schema.fields
+            if field.name not in there
+        ]
+        lonely = part.frame.join(keys, condition, "left_anti").select("*", *missing)
+        return replace(matched, frame=matched.frame.unionByName(lonely))
 
     # -- reducing -------------------------------------------------------------------------
 
