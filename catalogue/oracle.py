@@ -117,6 +117,8 @@ ORACLE: dict[str, str] = {
     "select_joined_field": """
         SELECT o_orderkey, c_name AS name, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey
         LEFT JOIN nation ON c_nationkey = n_nationkey""",
+    "select_joined_many": """
+        SELECT o_orderkey, l_partkey, l_quantity FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey""",
     "computed_dimension": """
         SELECT l_orderkey, l_linenumber, cast(l_extendedprice * (1 - l_discount) AS decimal(38,4)) AS net_price
         FROM lineitem""",

@@ -139,6 +139,13 @@ def select_joined_field(m: Model) -> DataFrame:
     return m.orders.query(view().select("o_orderkey", "customer.name", "customer.nation.n_name"))
 
 
+@registered
+def select_joined_many(m: Model) -> DataFrame:
+    """One row per order and line, and one for each order without lines."""
+    fields = view().select("o_orderkey", "items.l_partkey", "items.l_quantity")
+    return m.orders_with_lines.query(fields)
+
+
 @registered
 def computed_dimension(m: Model) -> DataFrame:
     rows = m.lineitem.query(view().select("l_orderkey", "l_linenumber", "net_price"))

@@ -86,6 +86,24 @@ def test_children_are_summed_before_their_join(spark, model):
     assert plan.count("Exchange hashpartitioning") == 3
 
 
+def test_hot_keys_on_the_many_side_can_be_split(spark, model):
+    """Adaptive execution splits inner joins on both sides, left joins never on the right."""
+    by_flag = view().group_by("lines.flag").aggregate("total", "lines.quantity")
+    rows = view().select("id", "lines.q")
+    small = [sorted(map(repr, model.query(v).collect())) for v in (by_flag, rows)]
+    before = spark.conf.get(THRESHOLD)
+    spark.conf.set(THRESHOLD, "-1")
+    try:
+        frames = [model.query(v) for v in (by_flag, rows)]
+        for frame in frames:
+            plan = plan_of(frame)
+            assert "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
+        large = [sorted(map(repr, frame.collect())) for frame in frames]
+    finally:
+        spark.conf.set(THRESHOLD, before)
+    assert small == large
+
+
 def test_limited_nest_limits_before_its_shuffle(spark, model):
     best = view().group_by("id").aggregate("total").limit(2)
     outer = view().group_by("customers.segment").nest(best=best)
