@@ -13,6 +13,7 @@ from catalogue.model import Model
 from semlayer import (
     Check,
     Written,
+    checks_of,
     count,
     materialize,
     materialize_sql,
@@ -585,6 +586,21 @@ def check_suite(m: Model) -> DataFrame:
     return run_suite(m.spark, checks)
 
 
+@registered
+def check_views(m: Model) -> DataFrame:
+    """Views named like checks; those that filter and count share one scan."""
+    no_parent = view().where(lambda o: o.customer.c_custkey.isNull())
+    cheap = view().where(lambda o: o.o_totalprice < 20000, lambda o: o.status == "F")
+    orders = m.orders.view(
+        check_parents=no_parent.aggregate(invalid_count="total_orders"),
+        check_cheap=cheap.aggregate(fail_count=count()),
+        test_poor_customers=view()
+        .where(lambda o: o.customer.c_acctbal < -900)
+        .group_by("customer.name"),
+    )
+    return run_suite(m.spark, checks_of(orders, target="order_report"))
+
+
 # -- lineage ----------------------------------------------------------------------------------
 
 

@@ -4,7 +4,7 @@ Every query is an ordinary lazy DataFrame; measures keep the grain of the source
 """
 
 from semlayer.functions.measures import count, derived, divide, ratio, sum_of
-from semlayer.operators.checks import Check, is_check, run_check, run_suite
+from semlayer.operators.checks import Check, checks_of, is_check, run_check, run_suite
 from semlayer.operators.closure import shared_folder, source_edges, transitive_closure
 from semlayer.operators.keys import primary_key_violations
 from semlayer.operators.materialize import (
@@ -25,6 +25,7 @@ __all__ = [
     "Source",
     "View",
     "Written",
+    "checks_of",
     "count",
     "derived",
     "divide",

@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from semlayer.functions.measures import count
+from semlayer.functions.measures import Named, count
 from semlayer.plans.grain import GrainPlan
 from semlayer.plans.view import View
-from semlayer.sources.scope import Expression, bind, quoted
+from semlayer.sources.scope import Expression, bind, evaluate, quoted
 from semlayer.sources.source import Source
 
 # The verdict columns in order of precedence, and the name prefixes of checks.
@@ -35,13 +35,14 @@ def is_check(name: str, flagged: bool = False) -> bool:
 
 @dataclass(frozen=True, eq=False)
 class Check:
-    """One of: rows of a source that break a rule, counted or returned; or any frame."""
+    """One of: rows of a source that break a rule, counted or returned; a view; or any frame."""
 
     name: str
     target: str
     source: Source | None = None
     bad: Expression | None = None
     column: str | None = None  # the count column; None returns the offending rows
+    shape: View | None = None
     frame: DataFrame | None = None
 
     @staticmethod
@@ -56,6 +57,19 @@ class Check:
         """Returns the rows of a source that meet ``bad``."""
         return Check(name, target or source.name, source, bad)
 
+    @staticmethod
+    def of_view(name: str, source: Source, shape: View | str, target: str | None = None) -> Check:
+        """Judges a view of a source; one that filters and counts shares scans like ``counting``."""
+        shape = source.resolve_view(shape)
+        target = target or source.name
+        if shape.filters and shape.columns_out == tuple(shape.measures) and len(shape.measures) == 1:
+            ((column, measure),) = shape.measures.items()
+            if isinstance(measure, Named):
+                measure = source.measures.get(measure.name)
+            if measure == count() and shape.row_limit is None:
+                return Check(name, target, source, _all_of(shape.filters), column)
+        return Check(name, target, source, shape=shape)
+
     @staticmethod
     def of(name: str, frame: DataFrame, target: str | None = None) -> Check:
         """Judges a frame of the caller's, by default as a check of its own name."""
@@ -65,11 +79,22 @@ class Check:
         """The rows the check returns, lazily."""
         if self.source is None:
             return self.frame
+        if self.shape is not None:
+            return self.source.query(self.shape)
         if self.column is None:
             return self.source.query(View().select("*").where(self.bad))
         return self.source.query(View().where(self.bad).aggregate(**{self.column: count()}))
 
 
+def _all_of(filters: Sequence[Expression]) -> Expression:
+    return lambda scope: reduce(Column.__and__, [evaluate(f, scope) for f in filters])
+
+
+def checks_of(source: Source, target: str | None = None) -> list[Check]:
+    """The views of a source that are checks by their names."""
+    return [Check.of_view(name, source, name, target) for name in source.views if is_check(name)]
+
+
 def judge(name: str, first: Row | None, rows: int) -> tuple[bool, str]:
     """The verdict rule over the first row and the number of rows."""
     values = {} if first is None else first.asDict()
@@ -128,7 +153,7 @@ def _shared_scans(checks: Sequence[Check]) -> list[list[int]]:
     groups: dict[object, list[int]] = {}
     for i, check in enumerate(checks):
         shared: object = ("alone", i)
-        if check.source is not None:
+        if check.bad is not None:
             try:
                 plan = GrainPlan(check.source, {"bad": bind(check.source, check.bad)}, [], [])
                 if not plan.fans_out():

@@ -65,13 +65,18 @@ class View:
     top = limit
 
     def __post_init__(self) -> None:
-        outputs = [*self.columns, *self.keys, *self.measures, *self.nests]
+        outputs = self.columns_out
         twice = sorted({name for name in outputs if outputs.count(name) > 1})
         if twice:
             raise ValueError(f"output names {twice} are used twice")
         if (self.columns or self.all_columns) and (self.keys or self.measures or self.nests):
             raise ValueError("a view either selects rows or groups them")
 
+    @property
+    def columns_out(self) -> tuple[str, ...]:
+        """Names of the output columns, without those ``"*"`` stands for."""
+        return (*self.columns, *self.keys, *self.measures, *self.nests)
+
     @property
     def grouped(self) -> bool:
         return bool(self.keys or self.measures or self.nests)

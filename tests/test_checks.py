@@ -2,7 +2,7 @@ import pytest
 from demo import ORDERS, orders_source
 from pyspark.sql import functions as F
 
-from semlayer import Check, Source, count, is_check, run_check, run_suite, view
+from semlayer import Check, Source, checks_of, count, is_check, run_check, run_suite, view
 from semlayer.operators.checks import fused_counts
 
 BAD_ORDERS = [*ORDERS, (8, None, 101, 0.0, 1, "2026-08-06"), (9, 1, 101, -5.0, 1, "2026-08-06")]
@@ -127,3 +127,23 @@ def test_fused_checks_scan_once(spark, tmp_path):
 def test_names_of_checks():
     assert [is_check(n) for n in ("check_a", "test_a", "assert_a", "sales")] == [True, True, True, False]
     assert is_check("sales", flagged=True)
+
+
+def test_views_named_like_checks_are_checks(spark):
+    counted = view().where(lambda o: o.customer_id.isNull(), lambda o: o.price <= 0)
+    orders = orders_source(spark, BAD_ORDERS).view(
+        check_free_and_anonymous=counted.aggregate(invalid_count=count()),
+        check_named_measure=view().where(lambda o: o.price <= 0).aggregate(fail_count="total_orders"),
+        check_other_name=view().where(lambda o: o.price < -100).aggregate(null_count=count()),
+        test_grouped=view().where(lambda o: o.price < 0).group_by("customers.name"),
+        assert_wrong=view().aggregate(invalid_count="no_such_measure"),
+    )
+    checks = checks_of(orders)
+    assert [check.column for check in checks] == ["invalid_count", "fail_count", "null_count", None, None]
+    assert verdicts(run_suite(spark, checks)) == [
+        ("check_free_and_anonymous", False, 1),
+        ("check_named_measure", False, 1),
+        ("check_other_name", False, 1),
+        ("test_grouped", False, 1),
+        ("assert_wrong", False, 0),
+    ]

@@ -104,6 +104,36 @@ def test_hot_keys_on_the_many_side_can_be_split(spark, model):
     assert small == large
 
 
+def test_a_hot_order_is_split_at_run_time(spark, tmp_path):
+    lines = spark.range(120_000).selectExpr("IF(id % 3 = 0, 0, id) AS order_id", "id AS q")
+    lines.repartition(8).write.parquet(str(tmp_path / "lines.parquet"))
+    spark.range(40_000).write.parquet(str(tmp_path / "orders.parquet"))
+    child = file_source(spark, "lines", str(tmp_path / "lines.parquet"))
+    orders = file_source(spark, "orders", str(tmp_path / "orders.parquet")).primary_key("id")
+    orders = orders.join_many(child, {"id": "order_id"})
+    settings = {
+        THRESHOLD: "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        frame = orders.query(view().select("id", "lines.q"))
+        found = frame.agg(F.count("q"), F.count("id")).collect()[0]
+        frame.collect()
+        plan = plan_of(frame)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+    matched = 40_000 + sum(1 for i in range(40_000) if i % 3)
+    assert tuple(found) == (matched, matched + sum(1 for i in range(1, 40_000) if i % 3 == 0))
+    assert "skew=true" in plan
+
+
 def test_limited_nest_limits_before_its_shuffle(spark, model):
     best = view().group_by("id").aggregate("total").limit(2)
     outer = view().group_by("customers.segment").nest(best=best)
