@@ -85,6 +85,19 @@ FROM (
             FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL)
 """
 
+_CHECK_VIEWS = """
+SELECT 'order_report' AS target, name, found = 0 AS passed,
+       CASE WHEN kind = 'rows' THEN found ELSE cast(1 AS bigint) END AS returned_rows,
+       concat('Check ''', name, ''' returned ', found, CASE WHEN kind = 'rows' THEN ' rows.'
+              ELSE concat(' ', kind, ' records.') END) AS description
+FROM (
+  SELECT 'check_parents' AS name, 'invalid' AS kind, count(*) AS found
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE c_custkey IS NULL
+  UNION ALL SELECT 'check_cheap', 'failed', count(*) FROM orders WHERE o_totalprice < 20000 AND o_orderstatus = 'F'
+  UNION ALL SELECT 'test_poor_customers', 'rows', count(DISTINCT c_name)
+            FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < -900)
+"""
+
 _CLOSURE = """
 WITH RECURSIVE edges AS (
   SELECT 'order:' || o_orderkey AS src, 'customer:' || o_custkey AS dst FROM orders
@@ -268,5 +281,6 @@ ORACLE: dict[str, str] = {
     "check_offending_rows": _CUSTOMER + " WHERE c_acctbal < 0",
     "check_verdicts": _VERDICTS,
     "check_suite": _SUITE,
+    "check_views": _CHECK_VIEWS,
     "lineage_closure": _CLOSURE,
 }
