@@ -167,7 +167,7 @@ ORACLE: dict[str, str] = {
         SELECT c_name AS name, o_orderpriority AS priority, cast(sum(o_totalprice) AS decimal(38,2)) AS total_revenue
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE o_totalprice >= 300000 GROUP BY ALL""",
     "transitive_join": """
-        SELECT r_name, cast(sum(l_extendedprice * (1 - l_discount)) AS decimal(38,4)) AS net_revenue
+        SELECT r_name, cast(sum(l_extendedprice * (1 - l_discount)) AS decimal(38,0)) AS net_revenue
         FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
         LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
     "join_many_root_measure": """
@@ -250,9 +250,9 @@ ORACLE: dict[str, str] = {
                count(*) AS total_orders
         FROM orders GROUP BY ALL""",
     "two_stage_top_brands": """
-        SELECT p_brand, cast(sum(l_extendedprice * (1 - l_discount)) AS decimal(38,4)) AS net_revenue
+        SELECT p_brand, cast(sum(l_extendedprice * (1 - l_discount)) AS decimal(38,0)) AS net_revenue
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey GROUP BY ALL
-        ORDER BY net_revenue DESC NULLS LAST, p_brand LIMIT 5""",
+        ORDER BY sum(l_extendedprice * (1 - l_discount)) DESC NULLS LAST, p_brand LIMIT 5""",
     "stage_over_groups": """
         SELECT total_orders, count(*) AS customers
         FROM (SELECT o_custkey, count(*) AS total_orders FROM orders GROUP BY ALL) GROUP BY ALL""",

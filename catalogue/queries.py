@@ -261,7 +261,7 @@ def high_value_orders(m: Model) -> DataFrame:
 @registered
 def transitive_join(m: Model) -> DataFrame:
     by_region = view().group_by("orders.customer.nation.region.r_name").aggregate("net_revenue")
-    return rounded(m.lineitem.query(by_region), net_revenue=4)
+    return rounded(m.lineitem.query(by_region), net_revenue=0)
 
 
 @registered
@@ -393,7 +393,7 @@ def join_pruned(m: Model) -> DataFrame:
 def two_stage_top_brands(m: Model) -> DataFrame:
     brands = view().group_by("part.p_brand").aggregate("net_revenue")
     top = view().order_by("-net_revenue").top(5)
-    return rounded(m.lineitem.query(brands, top), net_revenue=4)
+    return rounded(m.lineitem.query(brands, top), net_revenue=0)
 
 
 @registered
