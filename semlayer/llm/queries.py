@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .ngram_jaccard import near_duplicates
 from .substring_dedup import remove_repeated_windows
 
 
@@ -18,14 +19,19 @@ def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
 }
 
 ORACLE: dict[str, str] = {
     "op2_substring_dedup": r"""
         WITH words AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w
             FROM documents
         ), starts AS (
             SELECT doc_id, unnest(range(1, len(w) - 33)) AS k, w FROM words WHERE len(w) >= 35
@@ -42,4 +48,28 @@ ORACLE: dict[str, str] = {
                    CASE WHEN ks IS NULL THEN w
                         ELSE [w[k] FOR k IN range(1, len(w) + 1) IF NOT list_contains(ks, k)] END, ' '), '')) AS kept_sha256
         FROM words LEFT JOIN gone USING (doc_id)""",
+    "op3_ngram_jaccard": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, [x FOR x IN regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x20\x09-\x0D]+') IF x <> ''] AS w
+            FROM documents
+        ), shingles AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS k FROM words WHERE len(w) > 0)
+        ), sizes AS (
+            SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b
+            FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+            JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+            GROUP BY a.doc_id, b.doc_id, x.n, y.n
+            HAVING 100 * count(*) >= 75 * (x.n + y.n - count(*))
+        ), reached AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+        )
+        SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least AS component_id
+        FROM documents LEFT JOIN sizes USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS least FROM reached GROUP BY a) USING (doc_id)""",
 }
