@@ -256,6 +256,20 @@ def crossing_pairs(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame
     )
 
 
+def merged(stars: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Components (node, root) of the links behind `stars` and of `pairs` (a, b) together.
+
+    Only distinct pairs of roots go into the second search, however many links join two stars.
+    """
+    ends = pairs.select("a", "b")
+    for end in ("a", "b"):
+        root = stars.select(F.col("node").alias(end), F.col("root").alias(f"{end}_root"))
+        ends = ends.join(root, end, "left").withColumn(end, F.coalesce(f"{end}_root", end)).select("a", "b")
+    above = written(components(ends.distinct()), "near-roots")
+    lifted = stars.join(above.toDF("root", "over"), "root", "left").select("node", F.coalesce("over", "root").alias("root"))
+    return lifted.union(above.join(stars.select("node"), "node", "left_anti").select("node", "root"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id for each row of `documents` (doc_id, text).
 
@@ -267,8 +281,9 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     members = written(members_of(docs, shingle), "near-members")
     sets = written(prefixes(docs, shingle, percent), "near-sets")
     links = written(verified(pivot_pairs(sets, percent), sets, percent), "near-links")
-    more = verified(crossing_pairs(sets, components(links), percent), sets, percent)
-    roots = components(links.union(more))
+    stars = written(components(links), "near-stars")
+    more = verified(crossing_pairs(sets, stars, percent), sets, percent)
+    roots = merged(stars, more)
     ids = (
         members.where("class is not null")
         .groupBy("class")

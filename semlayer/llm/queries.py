@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .kneser_ney import score_toxicity, train
 from .ngram_jaccard import near_duplicates
 from .substring_dedup import remove_repeated_windows
 
@@ -23,9 +25,18 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    labels = table(spark, folder, "labels").where(~fold).select("doc_id", "toxic")
+    model = train(documents.select("doc_id", "text").join(labels, "doc_id"))
+    return score_toxicity(documents, model).withColumn("held_out", fold)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
 }
 
 ORACLE: dict[str, str] = {
