@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .context_tree import score_texts
+from .decontamination import contamination
 from .kneser_ney import score_toxicity, train
+from .merkle import fingerprints_of_edits
 from .ngram_jaccard import near_duplicates
 from .substring_dedup import remove_repeated_windows
 
@@ -25,6 +28,17 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op6_context_tree_score(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    scored = score_texts(table(spark, folder, "documents").withColumn("train", ~held_out))
+    return scored.withColumn("held_out", held_out).drop("train")
+
+
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
@@ -33,10 +47,17 @@ def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return score_toxicity(documents, model).withColumn("held_out", fold)
 
 
+def op10_merkle_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints_of_edits(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op6_context_tree_score": op6_context_tree_score,
+    "op8_decontamination": op8_decontamination,
     "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
+    "op10_merkle_fingerprint": op10_merkle_fingerprint,
 }
 
 ORACLE: dict[str, str] = {

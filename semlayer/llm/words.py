@@ -78,7 +78,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+class _Tables(dict):
+    """Tables that each process builds for itself; they never travel with a function."""
+
+    def __reduce__(self):
+        return (_Tables, ())
+
+
+_tables = _Tables()
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -95,7 +102,9 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _byte_values() -> np.ndarray:
-    return np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+    if SEED not in _tables:
+        _tables[SEED] = np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+    return _tables[SEED]
 
 
 def words_of(texts: Texts, table: np.ndarray = BLANK_TABLE) -> Words:
