@@ -1,6 +1,87 @@
-STAGES = []
+"""A corpus pipeline: toxic documents go, near copies and benchmark leaks go, personal data is masked, and
+what is left is packed.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows to the shared
+folder and gives them to the next.
+"""
+
+from __future__ import annotations
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from semlayer.llm.components import written
+from semlayer.llm.decontamination import contamination
+from semlayer.llm.kneser_ney import score_toxicity, train
+from semlayer.llm.ngram_jaccard import near_duplicates
+from semlayer.llm.packing import packed
+from semlayer.llm.pii import masked, personal_data
+from semlayer.llm.queries import labelled, tokenizer_path
+
+
+def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose doc_id (null included) is among ids."""
+    keep = ids.select(F.col("doc_id").alias("kept")).distinct()
+    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity models of operator 9 do not reject."""
+    model = train(labelled(spark, docs, sf_dir))
+    return _only(docs, score_toxicity(docs, model).where("predicted = 0"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest doc_id of each group of operator 3; repeated rows of it go too.
+
+    Rows without a doc_id stay unless they are like a document with one.
+    """
+    near = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = _only(docs, near)
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any window of a benchmark item (operator 8)."""
+    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _only(docs, found.where("not contaminated"))
+
+
+def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, the spans of operator 1 replaced by <kind>; n_chars follows the new text."""
+    spans = personal_data(docs).where("spans <> ''").select(F.col("doc_id").alias("found"), "spans").distinct()
+    both = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("found")), "left").select(*docs.columns, "spans")
+
+    def run(batches):
+        for batch in batches:
+            pairs = zip(batch["text"].to_pylist(), batch["spans"].to_pylist())
+            texts = [t if t is None or not s else masked(t, s) for t, s in pairs]
+            columns = {c: batch[c] for c in batch.schema.names if c != "spans"} | {"text": pa.array(texts, pa.string())}
+            yield pa.record_batch(columns)
+
+    return both.mapInArrow(run, docs.schema).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 4,096 tokens (operator 5)."""
+    return packed(docs, tokenizer_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("personal_data", mask_personal_data),
+    ("packing", pack),
+]
+
+#: Trained models, discovered patterns and tokenizer ids are not SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -4,21 +4,35 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .context_tree import score_texts
 from .decontamination import contamination
 from .kneser_ney import score_toxicity, train
+from .licenses import license_scan
 from .merkle import fingerprints_of_edits
 from .ngram_jaccard import near_duplicates
+from .packing import packed
+from .pii import personal_data
 from .substring_dedup import remove_repeated_windows
+from .token_counts import token_counts
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bootstrapped_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(table(spark, folder, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = remove_repeated_windows(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -28,23 +42,43 @@ def op3_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan(table(spark, folder, "documents"))
+
+
+def op5_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packed(table(spark, folder, "documents"), tokenizer_path())
+
+
 def op6_context_tree_score(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
     scored = score_texts(table(spark, folder, "documents").withColumn("train", ~held_out))
     return scored.withColumn("held_out", held_out).drop("train")
 
 
+def op7_trie_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def labelled(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
+    """(text, toxic) of the documents whose labels may be learnt from."""
+    labels = table(spark, folder, "labels").where(~fold()).select("doc_id", "toxic")
+    return documents.select("doc_id", "text").join(labels, "doc_id")
+
+
+def fold() -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+
+
 def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
-    fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
-    labels = table(spark, folder, "labels").where(~fold).select("doc_id", "toxic")
-    model = train(documents.select("doc_id", "text").join(labels, "doc_id"))
-    return score_toxicity(documents, model).withColumn("held_out", fold)
+    model = train(labelled(spark, documents, folder))
+    return score_toxicity(documents, model).withColumn("held_out", fold())
 
 
 def op10_merkle_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,9 +86,13 @@ def op10_merkle_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bootstrapped_pii": op1_bootstrapped_pii,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_license_scan": op4_license_scan,
+    "op5_hilbert_packing": op5_hilbert_packing,
     "op6_context_tree_score": op6_context_tree_score,
+    "op7_trie_token_counts": op7_trie_token_counts,
     "op8_decontamination": op8_decontamination,
     "op9_kneser_ney_toxicity": op9_kneser_ney_toxicity,
     "op10_merkle_fingerprint": op10_merkle_fingerprint,
