@@ -222,7 +222,7 @@ def score_texts(documents: DataFrame) -> DataFrame:
         node, n0, n1, _, weighted = tree(keys, counts, 2)[2]
         above = ((node >> np.uint64(16)) << U8) | (node & np.uint64(255))
         parent, where = np.unique(above, return_inverse=True)
-        sums = [np.bincount(where, x, len(parent)) for x in (n0, n1, weighted)]
+        sums = [np.bincount(where, x, len(parent)).astype(float) for x in (n0, n1, weighted)]
         return pa.table({"node": parent.astype(np.int64), "n0": sums[0], "n1": sums[1], "weighted": sums[2]})
 
     blocks = dealt.groupBy("batch").applyInArrow(tree_blocks, X.BLOCK_SCHEMA)
