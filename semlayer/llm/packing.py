@@ -13,6 +13,10 @@ the ranges then place their documents independently.
 
 from __future__ import annotations
 
+import os
+import re
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -28,8 +32,10 @@ LENGTH = 4096
 END = 2
 DIMENSIONS = 3
 BITS = 8
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Units of either kind whose ids a worker remembers.
+REMEMBERED = 250_000
+#: A special token of the tokenizer, which always stands alone.
+SEPARATOR = "<|endoftext|>"
 SEED = 4096
 
 
@@ -76,31 +82,76 @@ def curve_keys(ids: list[np.ndarray], directions: np.ndarray) -> np.ndarray:
     return hilbert_keys(np.clip(points, 0, (1 << BITS) - 1), BITS)
 
 
-class WordEncoder:
-    """Ids of whole texts from ids of words.
+# The tokenizer's own split of lower-cased text, for characters up to U+00FF.  Fixed values.
+LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
+NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+UNITS = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\t-\\r \x85\xa0{LETTERS}{NUMBERS}]+"
+)
+
 
-    White space never joins words of this tokenizer, so its ids of a text are those of its words one
-    after another.  Only blanks and line feeds split here; the tokenizer splits at all others.
+def units_of(text: str) -> list[str]:
+    """Parts of a text that the tokenizer encodes one by one.
+
+    Texts of other scripts, or with the form of a special token, are split at blanks and line feeds
+    only, which never lie within a part; the tokenizer then splits further.
     """
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text.replace("\n", " ").split(" ")
+    return UNITS.findall(text.lower()) if "<|" not in text else text.replace("\n", " ").split(" ")
+
+
+def remembered() -> tuple[dict[str, bytes], dict[str, bytes]]:
+    """Ids of units met again, and of units met once: kept by a Python worker from task to task."""
+    state = sys.modules.setdefault("semlayer_worker_state", types.ModuleType("semlayer_worker_state"))
+    return state.__dict__.setdefault("units", ({}, {}))
+
+
+class UnitEncoder:
+    """Ids of whole texts from ids of their units."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.separator = self.tokenizer.token_to_id(SEPARATOR)
+        self.often, self.once = remembered()
+
+    def _learn(self, units: list[str]) -> None:
+        """Encode units in one call; the separator's id shows where each ends."""
+        (coded,) = self.tokenizer.encode_batch_fast([SEPARATOR.join(units)], add_special_tokens=False)
+        ids = np.array(coded.ids, "<u4")
+        cut = np.flatnonzero(ids == self.separator) if len(units) > 1 else np.zeros(0, np.int64)
+        low, data = [0, *(4 * (cut + 1)).tolist()], ids.tobytes()
+        for unit, a, b in zip(units, low, [*(4 * cut).tolist(), len(data)]):
+            self.once[unit] = data[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and END, as 32-bit little-endian numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for low in range(0, len(new), 4096):
-            part = new[low : low + 4096]
-            for word, coded in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.known[word] = np.array(coded.ids, "<u4").tobytes()
-        end, known = np.array([END], "<u4").tobytes(), self.known
-        return [b"".join([*map(known.__getitem__, words), end]) for words in split]
+        split = [units_of(t) for t in texts]
+        wanted = set().union(*split)
+        ids = {u: self.often[u] for u in wanted if u in self.often}
+        rest = wanted.difference(ids)
+        again = {u: self.once.pop(u) for u in rest.intersection(self.once)}
+        if len(self.often) + len(again) > REMEMBERED:
+            self.often.clear()
+        if len(self.once) > REMEMBERED:
+            self.once.clear()
+        self.often.update(again)
+        new = rest.difference(again)
+        plain = [u for u in new if SEPARATOR not in u]
+        for low in range(0, len(plain), 8192):
+            self._learn(plain[low : low + 8192])
+        for unit in new:
+            if SEPARATOR in unit:
+                self._learn([unit])
+        ids.update(again)
+        ids.update((u, self.once[u]) for u in new)
+        end = np.array([END], "<u4").tobytes()
+        return [b"".join([*map(ids.__getitem__, units), end]) for units in split]
 
 
 TOKENS = "doc_id bigint, curve bigint, doc_tokens bigint, ids binary"
@@ -110,13 +161,13 @@ def tokenized(documents: DataFrame, path: str) -> DataFrame:
     """doc_id, curve (sort key), doc_tokens and ids (32-bit little-endian) of each row."""
 
     def run(batches):
-        encoder, directions = WordEncoder(path), signs(1 << 16)
+        encoder, directions = UnitEncoder(path), signs(1 << 16)
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             low = 0
             while low < len(texts):
                 high, size = low, 0
-                while high < len(texts) and (size < 1 << 20 or high == low):
+                while high < len(texts) and (size < 3 << 20 or high == low):
                     size += len(texts[high])
                     high += 1
                 ids = encoder.encode(texts[low:high])
@@ -171,8 +222,9 @@ def packed(documents: DataFrame, path: str, length: int = LENGTH, with_ids: bool
         slot, place = None, 0
         for batch in batches:
             out = []
-            columns = [batch[c].to_pylist() for c in ("slot", "doc_id", "curve", "doc_tokens", "ids")]
-            for own, doc_id, curve, n, ids in zip(*columns):
+            columns = [batch[c].to_pylist() for c in ("slot", "doc_id", "curve", "doc_tokens")]
+            for own, doc_id, curve, n, ids in zip(*columns, batch["ids"]):
+                ids = ids.as_py()
                 if own != slot:
                     slot, place = own, first[own]
                 start = 0
