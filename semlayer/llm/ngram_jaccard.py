@@ -10,11 +10,12 @@ Documents with equal sets form one class, of which one member takes part.  Then,
 
 1. document frequencies of all shingles, counted in packed blocks (see `exchange`);
 2. prefixes and m of each class; shingles of one class only have no partner and are left out;
-3. in each prefix list every class is verified against one pivot.  Components of these links
+3. in each prefix list every class is verified against two pivots.  Components of these links
    leave few lists with more than one component, and no list of one needs any more pairs;
 4. the other lists join classes of different components, each list without pairs inside its
    largest one.  Lengths, positions and shared prefix shingles are tested within the join, so
-   a pair comes out once, not once for each shared shingle;
+   a pair comes out once, not once for each shared shingle; long lists carry whole sets
+   and verify there;
 5. verified links of both kinds give the final components.
 
 The result is complete for components: a pair that is never verified lies in one component.
@@ -39,6 +40,9 @@ PERCENT = 75
 MOST_MATCHES = 8
 VERIFY_COST = 8
 HEAD = 64
+#: Lists of this size verify within the join, for sets of up to so many shared shingles.
+HEAVY = 64
+MOST_CARRIED = 512
 
 
 def shingle_sets(texts: W.Texts, shingle: int) -> list[np.ndarray]:
@@ -196,19 +200,16 @@ def lists_of(sets: DataFrame, *more: str) -> DataFrame:
 
 
 def pivot_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Each class with the first class of each of its lists, if their sizes allow a link."""
+    """Each class with the least and the greatest class of each of its lists, if their sizes allow a link."""
     entries = lists_of(sets)
-    pivot = (
-        entries.groupBy("token")
-        .agg(F.min(F.struct("class", "n")).alias("p"), F.count("*").alias("size"))
-        .where("size > 1")
-        .select("token", F.col("p.class").alias("a"), F.col("p.n").alias("an"))
-    )
+    own = F.struct("class", "n")
+    pivots = entries.groupBy("token").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low.class <> high.class")
     return (
-        entries.join(pivot, "token")
-        .where("class <> a")
-        .where(100 * F.least("n", "an") >= percent * F.greatest("n", "an"))
-        .select("a", F.col("class").alias("b"))
+        entries.join(pivots, "token")
+        .select("class", "n", F.explode(F.array("low", "high")).alias("p"))
+        .where("class <> p.class")
+        .where(100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
+        .select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b"))
         .distinct()
     )
 
@@ -226,11 +227,20 @@ def crossing_pairs(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame
         entries.groupBy("token", "root")
         .agg(F.count("*").alias("size"))
         .groupBy("token")
-        .agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("roots"))
+        .agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("roots"), F.sum("size").alias("total"))
         .where("roots > 1")
-        .select("token", F.col("most.root").alias("main"))
+        .select("token", F.col("most.root").alias("main"), "total")
     )
-    open_lists = entries.join(largest, "token")
+    open_lists = written(entries.join(largest, "token"), "near-open")
+    small = open_lists.where(F.col("total") < HEAVY).withColumn("shared", F.lit(None).cast("array<bigint>"))
+    whole = sets.select("class", F.when(F.size("shared") <= MOST_CARRIED, F.col("shared")).alias("shared"))
+    heavy = open_lists.where(F.col("total") >= HEAVY).join(whole, "class")
+    pairs = [crossing_within(lists, percent) for lists in (small, heavy.select(*small.columns))]
+    return pairs[0].union(pairs[1]).distinct()
+
+
+def crossing_within(open_lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list and two components that may link; where whole sets are at hand, those that do."""
     left = open_lists.where("root <> main").alias("l")
     right = open_lists.alias("r")
     m = F.least("l.level", "r.level").cast("int")
@@ -240,20 +250,20 @@ def crossing_pairs(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame
     cut = (reach["l"] > HEAD) | (reach["r"] > HEAD)
     first = (F.element_at(common, 1) == F.col("l.token")) & (cut | (F.size(common) >= m))
     bound = F.least(F.expr("l.n - l.place"), F.expr("r.n - r.place"))
-    return (
-        left.join(
-            right,
-            (F.col("l.token") == F.col("r.token"))
-            & (F.col("l.root") != F.col("r.root"))
-            & ((F.col("r.root") == F.col("r.main")) | (F.col("l.class") < F.col("r.class")))
-            & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
-            & (F.col("l.at") <= reach["l"])
-            & (F.col("r.at") <= reach["r"])
-            & (beyond | (((100 + percent) * bound >= percent * F.expr("l.n + r.n")) & first)),
-        )
-        .select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b"))
-        .distinct()
-    )
+    least = percent * F.expr("l.n + r.n")
+    overlap = F.size(F.array_intersect("l.shared", "r.shared"))
+    links = F.col("l.shared").isNull() | F.col("r.shared").isNull() | ((100 + percent) * overlap >= least)
+    return left.join(
+        right,
+        (F.col("l.token") == F.col("r.token"))
+        & (F.col("l.root") != F.col("r.root"))
+        & ((F.col("r.root") == F.col("r.main")) | (F.col("l.class") < F.col("r.class")))
+        & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
+        & (F.col("l.at") <= reach["l"])
+        & (F.col("r.at") <= reach["r"])
+        & (beyond | (((100 + percent) * bound >= least) & first))
+        & links,
+    ).select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b"))
 
 
 def merged(stars: DataFrame, pairs: DataFrame) -> DataFrame:
