@@ -114,6 +114,10 @@ ORACLE: dict[str, str] = {
     "scan_csv": _CUSTOMER,
     "scan_tsv": _CUSTOMER,
     "scan_json": _CUSTOMER,
+    "scan_csv_texts": "SELECT * FROM conversations",
+    "scan_tsv_texts": "SELECT * FROM conversations",
+    "scan_json_texts": "SELECT * FROM conversations",
+    "scan_folder": "SELECT * FROM conversations",
     "scan_orc": _CUSTOMER,
     "catalog_table": """
         SELECT s_nationkey, count(*) AS suppliers, cast(sum(s_acctbal) AS decimal(38,2)) AS balance
@@ -245,6 +249,12 @@ ORACLE: dict[str, str] = {
     "join_cross": """
         SELECT r_name, count(DISTINCT r_regionkey) AS regions, count(*) AS pairs
         FROM region CROSS JOIN nation GROUP BY ALL""",
+    "join_cross_filtered": """
+        SELECT r_name, count(DISTINCT r_regionkey) AS regions, count(*) AS pairs
+        FROM region CROSS JOIN nation WHERE n_nationkey < 5 GROUP BY ALL""",
+    "join_cross_nothing": """
+        SELECT count(DISTINCT r_regionkey) AS regions, count(n_nationkey) AS pairs
+        FROM region CROSS JOIN nation WHERE n_nationkey < 0""",
     "join_pruned": """
         SELECT o_orderpriority AS priority, cast(sum(o_totalprice) AS decimal(38,2)) AS total_revenue,
                count(*) AS total_orders

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,9 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-@lru_cache(maxsize=4)
 def model_of(spark: SparkSession, folder: str) -> Model:
-    """A model is declared once per session and folder and serves every query on it."""
+    """A new model for each query, so that files are listed as they are now."""
     return Model(spark, folder)
 
 
@@ -87,6 +85,35 @@ def _round_trip(m: Model, extension: str, **options: str) -> DataFrame:
     return read_file(m.spark, path, customer.schema)
 
 
+def _texts_round_trip(m: Model, file_format: str, name: str) -> DataFrame:
+    """Texts with separators, quotes, blanks at the ends and line breaks, through files of text."""
+    turns = m.table("conversations").frame
+    path = f"{scratch(m.spark)}/run-{uuid.uuid4().hex}/{name}"
+    write_files(turns, path, file_format)
+    return file_source(m.spark, "turns", path, turns.schema, file_format).query(view().select("*"))
+
+
+@registered
+def scan_csv_texts(m: Model) -> DataFrame:
+    return _texts_round_trip(m, "csv", "turns.csv")
+
+
+@registered
+def scan_tsv_texts(m: Model) -> DataFrame:
+    return _texts_round_trip(m, "tsv", "turns.tsv")
+
+
+@registered
+def scan_json_texts(m: Model) -> DataFrame:
+    return _texts_round_trip(m, "json", "turns.json")
+
+
+@registered
+def scan_folder(m: Model) -> DataFrame:
+    """A folder without an extension."""
+    return _texts_round_trip(m, "orc", "turns")
+
+
 def scratch(spark: SparkSession) -> str:
     """Written results go to the folder all executors share."""
     return f"{shared_folder(spark)}/written"
@@ -380,6 +407,18 @@ def join_cross(m: Model) -> DataFrame:
     )
 
 
+@registered
+def join_cross_filtered(m: Model) -> DataFrame:
+    few = view().where(lambda r: r.nation.n_nationkey < 5)
+    return m.region_pairs.query(few.group_by("r_name").aggregate("regions", pairs="nation.nations"))
+
+
+@registered
+def join_cross_nothing(m: Model) -> DataFrame:
+    none = view().where(lambda r: r.nation.n_nationkey < 0)
+    return m.region_pairs.query(none.aggregate("regions", pairs="nation.nations"))
+
+
 @registered
 def join_pruned(m: Model) -> DataFrame:
     by_priority = view().group_by("priority").aggregate("total_revenue", "total_orders")

@@ -30,7 +30,7 @@ RESULT_SCHEMA = (
 
 
 def is_check(name: str, flagged: bool = False) -> bool:
-    return flagged or name.startswith(CHECK_PREFIXES)
+    return flagged or name.lower().startswith(CHECK_PREFIXES)
 
 
 @dataclass(frozen=True, eq=False)

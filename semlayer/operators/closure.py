@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable
 
@@ -14,13 +13,9 @@ from semlayer.sources.source import Source
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the session names for checkpoints; a local session may go without one."""
+    """The folder the session names for checkpoints, else its warehouse; all executors see both."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def transitive_closure(edges: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from semlayer.sources.readers import WRITING
+
 PREVIEW_ROWS = 5
 MODES = ("table", "view")
 
@@ -79,10 +81,14 @@ def materialize_sql(spark: SparkSession, text: str, target: str) -> Written:
 def write_files(
     frame: DataFrame, path: str, file_format: str = "parquet", **options: str
 ) -> int:
-    """Write a new folder and return its row count, counted by the writing job itself."""
+    """Write a new folder and return its row count, counted by the writing job itself.
+
+    Text formats are written as `read_file` reads them.
+    """
+    spark_format, defaults = WRITING.get(file_format, (file_format, {}))
     observation = Observation()
     counted = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
-    counted.write.format(file_format).options(**options).mode("errorifexists").save(path)
+    counted.write.format(spark_format).options(**{**defaults, **options}).mode("errorifexists").save(path)
     return observation.get["rows"]
 
 
@@ -125,7 +131,7 @@ def _publish(
     old_schema = [(f.name, f.dataType) for f in spark.table(target).schema.fields]
     same = old_schema == [(f.name, f.dataType) for f in schema.fields]
     if same and old_format == file_format:
-        spark.sql(f"ALTER TABLE {_quoted(target)} SET LOCATION '{location}'")
+        spark.sql(f"ALTER TABLE {_quoted(target)} SET LOCATION '{_escaped(location)}'")
         spark.catalog.refreshTable(target)
         return old_location
     mark = uuid.uuid4().hex[:8]
@@ -141,6 +147,11 @@ def _publish(
     return old_location
 
 
+def _escaped(text: str) -> str:
+    """The inside of a SQL string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _create(spark, table: str, location: str, file_format: str, schema: StructType) -> None:
     spark.catalog.createTable(table, path=location, source=file_format, schema=schema)
 

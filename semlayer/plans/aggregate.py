@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from semlayer.functions.measures import Atom, AtomTable, Measure
 from semlayer.plans.grain import GrainPlan, closed
@@ -43,8 +44,8 @@ def totals(
 ) -> DataFrame:
     """Key columns and ``total_name(i)`` per atom.
 
-    The two sides of a ``join_cross`` are aggregated apart and their groups are paired: the groups
-    of the result are exactly those pairs, and each side's rows count once in each of them.
+    The two sides of a ``join_cross`` are aggregated apart and their groups are paired.  Each side's rows count once in each group, if any row of the other side passes the filters on it;
+    without filters on the other side they also count where that side has no rows at all.
     """
     plan = GrainPlan(source, keys, filters, list(atoms.values()), root)
     crossed = cross_join_of(plan)
@@ -83,4 +84,28 @@ def _paired(source, keys, filters, atoms, root, crossed) -> DataFrame:
     near_atoms = {i: atom for i, atom in atoms.items() if i not in far_atoms}
     near = totals(source, near_keys, near_filters, near_atoms, root)
     far = totals(source, far_keys, far_filters, far_atoms, crossed)
-    return near.crossJoin(far)
+    passing = _passing(source, near_filters, root, "near").crossJoin(_passing(source, far_filters, crossed, "far"))
+    # a row of this side stays where the other has no row, but not where none passes the filters on it
+    if far_keys:
+        far = passing.where("near").join(far, F.lit(True), "inner" if far_filters else "left")
+    else:
+        far = passing.crossJoin(far) if far_atoms else passing
+    paired = near.crossJoin(far) if near_keys or near_atoms else far
+    far_ok = F.col("far") if far_filters else F.lit(True)
+    if near_keys:
+        paired = paired.where(far_ok)
+    columns = [quoted(key) for key in keys]
+    for i, atom in sorted(atoms.items()):
+        joined = far_ok if i in near_atoms else F.col("near")
+        total = F.when(joined, quoted(total_name(i)))
+        none = F.lit(0).cast("bigint") if atom.value is None else F.lit(None)
+        columns.append(F.coalesce(total, none).alias(total_name(i)))
+    return paired.select(*columns)
+
+
+def _passing(source: Source, filters: Sequence[Bound], root: Path, name: str) -> DataFrame:
+    """One row: whether any row of this side passes the filters on it."""
+    table = AtomTable(source)
+    table.add(root, None, ())
+    counted = totals(source, {}, filters, {0: table.atoms[0]}, root)
+    return counted.select((quoted(total_name(0)) > 0).alias(name))

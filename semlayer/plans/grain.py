@@ -196,6 +196,8 @@ def _sum_type(data_type: T.DataType) -> T.DataType:
         return T.DecimalType(min(38, data_type.precision + 10), data_type.scale)
     if isinstance(data_type, (T.FloatType, T.DoubleType, T.StringType)):
         return T.DoubleType()
+    if isinstance(data_type, (T.DayTimeIntervalType, T.YearMonthIntervalType)):
+        return data_type
     return T.LongType()
 
 

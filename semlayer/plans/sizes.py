@@ -7,6 +7,7 @@ import re
 from pyspark.sql import DataFrame
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+_UNITS |= {"t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
 
 
 def broadcast_threshold(frame: DataFrame) -> int:

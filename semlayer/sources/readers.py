@@ -9,38 +9,63 @@ from pyspark.sql.types import StructType
 
 from semlayer.sources.source import Source
 
-# File extensions and the Spark formats they stand for.  Fixed values.
-FORMATS = {
-    ".parquet": ("parquet", {}),
-    ".csv": ("csv", {"header": "true"}),
-    ".tsv": ("csv", {"header": "true", "sep": "\t"}),
-    ".json": ("json", {}),
-    ".orc": ("orc", {}),
+# File extensions, the Spark formats they stand for, and their separators.  Fixed values.
+FORMATS = {".parquet": "parquet", ".csv": "csv", ".tsv": "tsv", ".json": "json", ".orc": "orc"}
+SCHEMA_FREE = {"csv", "tsv", "json"}
+#: How text is written, and read back without loss: names in a header, doubled quotes, quoted line
+#: breaks, blanks kept, null apart from the empty string.
+DELIMITED = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "\\N",
 }
-SCHEMA_FREE = {"csv", "json"}
+WRITING = {
+    "csv": ("csv", DELIMITED),
+    "tsv": ("csv", {**DELIMITED, "sep": "\t"}),
+    "json": ("json", {"ignoreNullFields": "false"}),
+}
+#: A header that differs from the schema and a value of another type raise.  Quoted line breaks mean that
+#: one file is read by one task: pass multiLine="false" for large files without them.
+STRICT = {"enforceSchema": "false", "multiLine": "true", "mode": "FAILFAST"}
 
 
 def read_file(
-    spark: SparkSession, path: str, schema: StructType | str | None = None, **options: str
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    file_format: str | None = None,
+    **options: str,
 ) -> DataFrame:
-    """A file or directory by its extension.  Text formats need a schema: inferring one would
-    read the data an extra time."""
+    """A file or directory by `file_format` or else its extension.  Text formats need a schema:
+    inferring one would read the data an extra time."""
     extension = PurePosixPath(path.rstrip("/")).suffix.lower()
-    if extension not in FORMATS:
-        raise ValueError(f"'{path}' has none of the extensions {sorted(FORMATS)}")
-    file_format, defaults = FORMATS[extension]
-    if file_format in SCHEMA_FREE and schema is None:
+    kind = file_format or FORMATS.get(extension)
+    if kind not in FORMATS.values():
+        raise ValueError(f"'{path}' has none of the extensions {sorted(FORMATS)}; pass file_format")
+    if kind in SCHEMA_FREE and schema is None:
         raise ValueError(f"'{path}' carries no types; pass a schema")
-    reader = spark.read.format(file_format).options(**{**defaults, **options})
+    spark_format, defaults = WRITING.get(kind, (kind, {}))
+    if kind in ("csv", "tsv"):
+        defaults = {**defaults, **STRICT}
+    elif kind == "json":
+        defaults = {"mode": "FAILFAST"}
+    reader = spark.read.format(spark_format).options(**{**defaults, **options})
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
 
 
 def file_source(
-    spark: SparkSession, name: str, path: str, schema: StructType | str | None = None, **options: str
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: StructType | str | None = None,
+    file_format: str | None = None,
+    **options: str,
 ) -> Source:
-    return Source(name, read_file(spark, path, schema, **options))
+    return Source(name, read_file(spark, path, schema, file_format, **options))
 
 
 def table_source(spark: SparkSession, table: str, name: str | None = None) -> Source:

@@ -1,4 +1,7 @@
 import pytest
+
+from semlayer.operators.checks import is_check
+from semlayer.operators.materialize import materialize
 from demo import CUSTOMER_SCHEMA, CUSTOMERS, customers_source, orders_source
 
 from semlayer import (
@@ -82,3 +85,52 @@ def test_source_edges(spark):
     orders = orders_source(spark).extend("orders_2")
     closure = pairs(transitive_closure(source_edges(spark, [orders])))
     assert ("orders_2", "orders") in closure and ("orders", "customers") in closure
+
+
+TEXTS = [
+    (1, 'say ""hi"", ok'),
+    (2, "two\nlines\r\nand more"),
+    (3, " pad "),
+    (4, ""),
+    (5, None),
+    (6, 'tab\t, comma, "quoted" \\ back'),
+]
+
+
+@pytest.mark.parametrize("file_format", ["csv", "tsv", "json", "orc", "parquet"])
+def test_texts_come_back_as_they_were(spark, tmp_path, file_format):
+    path = str(tmp_path / "texts")
+    frame = spark.createDataFrame(TEXTS, "id int, t string")
+    assert write_files(frame, path, file_format) == len(TEXTS)
+    again = read_file(spark, path, frame.schema, file_format)
+    assert sorted(map(tuple, again.collect())) == TEXTS
+
+
+def test_foreign_files_are_read_right_or_refused(spark, tmp_path):
+    good, swapped, bad = (tmp_path / f"{name}.csv" for name in ("good", "swapped", "bad"))
+    good.write_text('a,b\n1,"say ""hi"", ok"\n2," x\ny "\n')
+    swapped.write_text("b,a\n1,2\n")
+    bad.write_text("a,b\nnone,2\n")
+    schema = "a int, b string"
+    assert sorted(map(tuple, read_file(spark, str(good), schema).collect())) == [(1, 'say "hi", ok'), (2, " x\ny ")]
+    for path in (swapped, bad):
+        with pytest.raises(Exception):
+            read_file(spark, str(path), schema).collect()
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"a": 1, "b": "x"}\n{"a": \n')
+    with pytest.raises(Exception):
+        read_file(spark, str(broken), schema).collect()
+
+
+def test_a_folder_with_a_quote_can_be_replaced(spark, tmp_path):
+    folder = str(tmp_path / "it's")
+    frame = spark.createDataFrame([(1,)], "id int")
+    materialize(frame, "quoted_folder", folder=folder)
+    materialize(frame.union(frame), "quoted_folder", folder=folder)
+    assert spark.table("quoted_folder").count() == 2
+    spark.sql("DROP TABLE quoted_folder")
+
+
+@pytest.mark.parametrize("name", ["Check_x", "TEST_y", "assert_z"])
+def test_check_names_ignore_case(name):
+    assert is_check(name)

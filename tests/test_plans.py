@@ -208,3 +208,36 @@ def test_cross_join_counts_both_sides_once(spark):
         both.query(view().select("id", "right.k"))
     pruned = both.query(view().group_by("k").aggregate("lefts"))
     assert "Join" not in plan_of(pruned)
+
+
+@pytest.fixture
+def crossed(spark):
+    left = Source("left", spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "id int, k string"))
+    right = Source("right", spark.createDataFrame([(1, "x"), (2, "y"), (3, "y")], "id int, k string"))
+    return left.join_cross(right).measure(lefts=count())
+
+
+def rows(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+def test_cross_join_where_no_far_row_passes(crossed):
+    nothing = view().where(lambda s: s.right.k == "nope")
+    assert rows(crossed.query(nothing.aggregate("lefts"))) == [(0,)]
+    assert rows(crossed.query(nothing.aggregate("lefts", rights=count("right")))) == [(0, 0)]
+    assert rows(crossed.query(nothing.group_by("k").aggregate("lefts", rights=count("right")))) == []
+
+
+def test_cross_join_where_no_near_row_passes(crossed):
+    nothing = view().where(lambda s: s.k == "nope")
+    assert rows(crossed.query(nothing.aggregate(rights=count("right")))) == [(0,)]
+    assert rows(crossed.query(nothing.group_by(other="right.k").aggregate(rights=count("right")))) == []
+
+
+def test_cross_join_of_an_empty_side(spark):
+    left = Source("left", spark.createDataFrame([(1, "a"), (2, "a")], "id int, k string"))
+    right = Source("right", spark.createDataFrame([], "id int, k string"))
+    both = left.join_cross(right).measure(lefts=count())
+    grouped = both.query(view().group_by(other="right.k").aggregate("lefts", rights=count("right")))
+    assert rows(grouped) == [(None, 2, 0)]
+    assert rows(both.query(view().aggregate("lefts", rights=count("right")))) == [(2, 0)]
