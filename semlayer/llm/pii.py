@@ -2,7 +2,7 @@
 
 Four base rules find e-mail addresses, IPv4 addresses, payment cards and phone numbers.  Their
 matches are the seeds of a bootstrap over the whole corpus.  An instance is any token with a digit
-or an @ in it; its patterns are the one or two words before it together with its shape.  Spark
+or an @ in it; its patterns are the one or two words before it together with its coarse form.  Spark
 holds the graph of patterns and instances and scores it in rounds:
 
     score of a pattern for a kind = share of its distinct instances that are trusted as that kind
@@ -70,13 +70,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def shape(token: str) -> str:
-    """A token's form: runs of digits as 9, of letters as a, of any other character as itself."""
-    out = ""
-    for c in token:
-        c = "9" if c in "0123456789" else "a" if c.isalpha() else c
-        if not out.endswith(c):
-            out += c
-    return out[:16]
+    """A token's coarse form: with an @, with letters and digits, or with digits and marks only."""
+    return "@" if "@" in token else "a9" if any(c.isalpha() for c in token) else "9"
 
 
 def before(text: str, start: int) -> list[str]:
