@@ -17,6 +17,7 @@ from semlayer import (
     materialize,
     materialize_sql,
     primary_key_violations,
+    file_source,
     read_file,
     run_suite,
     shared_folder,
