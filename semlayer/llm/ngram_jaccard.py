@@ -13,9 +13,9 @@ Documents with equal sets form one class, of which one member takes part.  Then,
 3. in each prefix list every class is verified against two pivots.  Components of these links
    leave few lists with more than one component, and no list of one needs any more pairs;
 4. the other lists join classes of different components, each list without pairs inside its
-   largest one.  Lengths, positions and shared prefix shingles are tested within the join, so
-   a pair comes out once, not once for each shared shingle; long lists carry whole sets
-   and verify there;
+   largest one.  Lengths, parity bits, positions and shared prefix shingles are tested within
+   the join, so a pair comes out once, not once for each shared shingle; long lists carry whole
+   sets and verify there;
 5. verified links of both kinds give the final components.
 
 The result is complete for components: a pair that is never verified lies in one component.
@@ -43,6 +43,8 @@ HEAD = 64
 #: Lists of this size verify within the join, for sets of up to so many shared shingles.
 HEAVY = 64
 MOST_CARRIED = 512
+#: 64-bit numbers of a set's parity bits.
+SKETCH = 16
 
 
 def shingle_sets(texts: W.Texts, shingle: int) -> list[np.ndarray]:
@@ -66,6 +68,16 @@ def set_code(codes: np.ndarray) -> int:
     return int(W.mixed(np.array([total], np.uint64) + np.uint64(len(codes))).view(np.int64)[0])
 
 
+def parity_bits(codes: np.ndarray) -> list[int]:
+    """Whether each of 64 * SKETCH cells has an odd number of codes.
+
+    Two sets differ in at least as many codes as their parities differ in cells.
+    """
+    cell = (W.mixed(codes) % np.uint64(64 * SKETCH)).astype(np.int64)
+    odd = (np.bincount(cell, minlength=64 * SKETCH) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64).tolist()
+
+
 def required(n: int, percent: int) -> int:
     """The least overlap of a set of n with any set that it links to."""
     return -(-percent * n // 100)
@@ -102,8 +114,8 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """A row for each class whose prefix has a shingle of another class.
 
     class, n, level (its m), tokens (shared shingles of its prefix, rarest first), place (their
-    positions among all shingles), reach (how many tokens the prefix of each m has) and shared
-    (all its shingles that another class has).
+    positions among all shingles), reach (how many tokens the prefix of each m has), shared
+    (all its shingles that another class has) and parity (see `parity_bits`).
     """
     spark = docs.sparkSession
     total = X.text_bytes(docs)
@@ -157,11 +169,12 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                         "place": place.tolist(),
                         "reach": np.searchsorted(place, lengths[:level]).tolist(),
                         "shared": W.long_id(codes[own > 1]).tolist(),
+                        "parity": parity_bits(codes),
                     }
                 )
         longs = pa.list_(pa.int64())
         kinds = [("class", pa.int64()), ("n", pa.int64()), ("level", pa.int64())]
-        kinds += [(name, longs) for name in ("tokens", "place", "reach", "shared")]
+        kinds += [(name, longs) for name in ("tokens", "place", "reach", "shared", "parity")]
         return pa.Table.from_pylist(rows, pa.schema(kinds))
 
     dealt = docs.select("text").mapInArrow(first_of_class, "batch bigint, class bigint, text string")
@@ -173,7 +186,7 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         .applyInArrow(
             finish,
             "class bigint, n bigint, level bigint, tokens array<bigint>, place array<bigint>, reach array<bigint>, "
-            "shared array<bigint>",
+            "shared array<bigint>, parity array<bigint>",
         )
     )
 
@@ -220,9 +233,9 @@ def crossing_pairs(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame
     known = (
         sets.join(stars.withColumnRenamed("node", "class"), "class", "left")
         .withColumn("root", F.coalesce("root", "class"))
-        .select("class", "n", "level", "root", "reach", head, "tokens", "place")
+        .select("class", "n", "level", "root", "reach", "parity", head, "tokens", "place")
     )
-    entries = lists_of(known, "level", "root", "reach", "head")
+    entries = lists_of(known, "level", "root", "reach", "parity", "head")
     largest = (
         entries.groupBy("token", "root")
         .agg(F.count("*").alias("size"))
@@ -245,25 +258,41 @@ def crossing_within(open_lists: DataFrame, percent: int) -> DataFrame:
     right = open_lists.alias("r")
     m = F.least("l.level", "r.level").cast("int")
     reach = {s: F.element_at(f"{s}.reach", m).cast("int") for s in "lr"}
-    common = F.array_intersect(*(F.slice(f"{s}.head", F.lit(1), F.least(reach[s], F.lit(HEAD))) for s in "lr"))
-    beyond = (F.col("l.at") > HEAD) | (F.col("r.at") > HEAD)
-    cut = (reach["l"] > HEAD) | (reach["r"] > HEAD)
-    first = (F.element_at(common, 1) == F.col("l.token")) & (cut | (F.size(common) >= m))
-    bound = F.least(F.expr("l.n - l.place"), F.expr("r.n - r.place"))
     least = percent * F.expr("l.n + r.n")
-    overlap = F.size(F.array_intersect("l.shared", "r.shared"))
-    links = F.col("l.shared").isNull() | F.col("r.shared").isNull() | ((100 + percent) * overlap >= least)
-    return left.join(
+    apart = F.expr(" + ".join(f"bit_count(l.parity[{i}] ^ r.parity[{i}])" for i in range(SKETCH)))
+    near = left.join(
         right,
         (F.col("l.token") == F.col("r.token"))
         & (F.col("l.root") != F.col("r.root"))
         & ((F.col("r.root") == F.col("r.main")) | (F.col("l.class") < F.col("r.class")))
         & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
-        & (F.col("l.at") <= reach["l"])
-        & (F.col("r.at") <= reach["r"])
-        & (beyond | (((100 + percent) * bound >= least) & first))
-        & links,
-    ).select(F.least("l.class", "r.class").alias("a"), F.greatest("l.class", "r.class").alias("b"))
+        & ((100 + percent) * apart <= (100 - percent) * F.expr("l.n + r.n")),
+    )
+    common = F.array_intersect(*(F.slice(f"{s}.head", F.lit(1), F.least(reach[s], F.lit(HEAD))) for s in "lr"))
+    overlap = F.when(
+        F.col("l.shared").isNotNull() & F.col("r.shared").isNotNull(), F.size(F.array_intersect("l.shared", "r.shared"))
+    )
+    costly = F.struct(
+        ((F.col("l.at") <= reach["l"]) & (F.col("r.at") <= reach["r"])).alias("within"),
+        ((F.col("l.at") > HEAD) | (F.col("r.at") > HEAD)).alias("beyond"),
+        ((reach["l"] > HEAD) | (reach["r"] > HEAD)).alias("cut"),
+        common.alias("common"),
+        overlap.alias("overlap"),
+    )
+    tested = near.select(
+        F.least("l.class", "r.class").alias("a"),
+        F.greatest("l.class", "r.class").alias("b"),
+        F.col("l.token").alias("token"),
+        m.alias("m"),
+        least.alias("least"),
+        F.least(F.expr("l.n - l.place"), F.expr("r.n - r.place")).alias("bound"),
+        # An array of one element: its costly tests stay out of the join's own loop.
+        F.explode(F.array(costly)).alias("t"),
+    )
+    first = (F.element_at("t.common", 1) == F.col("token")) & (F.col("t.cut") | (F.size("t.common") >= F.col("m")))
+    reachable = (100 + percent) * F.col("bound") >= F.col("least")
+    links = F.col("t.overlap").isNull() | ((100 + percent) * F.col("t.overlap") >= F.col("least"))
+    return tested.where("t.within").where((F.col("t.beyond") | (reachable & first)) & links).select("a", "b")
 
 
 def merged(stars: DataFrame, pairs: DataFrame) -> DataFrame:
