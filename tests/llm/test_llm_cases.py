@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from conftest import *  # noqa: F403
 
@@ -11,7 +12,7 @@ from semlayer.llm.decontamination import contamination
 from semlayer.llm.kneser_ney import score_toxicity, train
 from semlayer.llm.licenses import license_scan
 from semlayer.llm.merkle import differing_paragraphs, fingerprint, fingerprints_of_edits, likeness
-from semlayer.llm.ngram_jaccard import near_duplicates
+from semlayer.llm.ngram_jaccard import near_duplicates, parity_bits
 from semlayer.llm.packing import hilbert_keys, packed
 from semlayer.llm.pii import masked, personal_data
 from semlayer.llm.queries import tokenizer_path
@@ -149,3 +150,13 @@ def test_byte_probabilities_sum_to_one():
     for context in (keys[3], keys[10], np.uint64(0x7A7A7A7A7A00)):
         every = (context & ~np.uint64(255)) | np.arange(256, dtype=np.uint64)
         assert (10 ** C.log_probabilities(every, stops)).sum() == pytest.approx(1.0)
+
+
+def test_parities_differ_in_no_more_cells_than_sets_differ_in_codes():
+    draw = np.random.default_rng(3)
+    for size in (1, 5, 130, 3000):
+        a = np.unique(draw.integers(0, 1 << 62, size, dtype=np.uint64))
+        b = np.unique(np.concatenate((a[len(a) // 3 :], draw.integers(0, 1 << 62, size // 2, dtype=np.uint64))))
+        apart = sum(((x ^ y) % (1 << 64)).bit_count() for x, y in zip(parity_bits(a), parity_bits(b)))
+        assert apart <= len(np.setxor1d(a, b))
+        assert parity_bits(a) == parity_bits(a[::-1])
