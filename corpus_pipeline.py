@@ -16,7 +16,7 @@ from semlayer.llm.decontamination import contamination
 from semlayer.llm.kneser_ney import score_toxicity, train
 from semlayer.llm.ngram_jaccard import near_duplicates
 from semlayer.llm.packing import packed
-from semlayer.llm.pii import masked, personal_data
+from semlayer.llm.pii import masked, row_spans
 from semlayer.llm.queries import labelled, tokenizer_path
 
 
@@ -49,9 +49,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, the spans of operator 1 replaced by <kind>; n_chars follows the new text."""
-    spans = personal_data(docs).where("spans <> ''").select(F.col("doc_id").alias("found"), "spans").distinct()
-    both = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("found")), "left").select(*docs.columns, "spans")
+    """All documents, the spans of operator 1 replaced by <kind>; n_chars follows the new text.
+
+    Spans belong to a doc_id and its text, so rows without an id, or of one id, keep to their own.
+    """
+    spans = row_spans(docs).where("spans <> ''").select(F.col("doc_id").alias("found"), F.col("row").alias("code"), "spans")
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("found")) & (F.xxhash64(F.col("text").cast("string")) == F.col("code"))
+    both = docs.join(spans.distinct(), same, "left").select(*docs.columns, "spans")
 
     def run(batches):
         for batch in batches:

@@ -185,13 +185,8 @@ def bootstrapped(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return found
 
 
-def personal_data(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """One row for each row of `documents` (doc_id, text): counts of base matches and all spans.
-
-    doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of base matches as kind:start:end, by start, then
-    kind as listed, joined by commas), spans (base and discovered ones alike).  Offsets are code
-    points, ends exclusive.  A null text is empty and has none.
-    """
+def row_spans(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """The columns of `personal_data` and `row`, the xxhash64 of the text they were found in."""
     base = written(base_found(documents), "pii-base")
     each = base.select("doc_id", "row", F.explode("instances").alias("i"))
     graph = each.select("i.form", "i.kind", F.explode("i.patterns").alias("pattern")).distinct()
@@ -218,11 +213,21 @@ def personal_data(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             kept = [c for c in batch.schema.names if c not in ("base", "more")]
             yield pa.record_batch({c: batch[c] for c in kept} | {"spans": pa.array(spans, pa.string())})
 
-    columns = ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "more"]
-    schema = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
+    columns = ["doc_id", "row", *(f"n_{k}" for k in KINDS), "base_sha256", "base", "more"]
+    schema = "doc_id bigint, row bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string"
     return both.select(*columns).mapInArrow(run, schema)
 
 
+def personal_data(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """One row for each row of `documents` (doc_id, text): counts of base matches and all spans.
+
+    doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of base matches as kind:start:end, by start, then
+    kind as listed, joined by commas), spans (base and discovered ones alike).  Offsets are code
+    points, ends exclusive.  A null text is empty and has none.
+    """
+    return row_spans(documents, rounds).drop("row")
+
+
 def masked(text: str, spans: str) -> str:
     """The text with each span replaced by its kind in angle brackets; overlaps merge."""
     out, at = [], 0
