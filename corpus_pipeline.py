@@ -8,7 +8,7 @@ folder and gives them to the next.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from semlayer.llm.components import written
@@ -20,31 +20,46 @@ from semlayer.llm.pii import masked, row_spans
 from semlayer.llm.queries import labelled, tokenizer_path
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose doc_id (null included) is among ids."""
-    keep = ids.select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The rows with a code of doc_id and text in place of doc_id, so that operators decide about rows."""
+    return docs.withColumn("doc_id", _key())
+
+
+def _key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("string"), F.lit("/"), F.col("text").cast("string"))
+
+
+def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key is among the doc_id of keys."""
+    keep = keys.select(F.col("doc_id").alias("kept")).distinct()
+    return docs.join(keep, _key() == F.col("kept"), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models of operator 9 do not reject."""
     model = train(labelled(spark, docs, sf_dir))
-    return _only(docs, score_toxicity(docs, model).where("predicted = 0"))
+    return _only(docs, score_toxicity(_keyed(docs), model).where("predicted = 0"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest doc_id of each group of operator 3; repeated rows of it go too.
+    """The row of the smallest doc_id of each group of operator 3 (rows without one last); repeated rows go too.
 
-    Rows without a doc_id stay unless they are like a document with one.
+    A group has one row left, whatever ids its rows have or share.  Rows without words are in no
+    group: of those only repeated ones with a doc_id go.
     """
-    near = near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = _only(docs, near)
-    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
+    ids = docs.select(F.col("doc_id").alias("id"), _key().alias("key")).distinct()
+    near = near_duplicates(_keyed(docs)).select("doc_id", "component_id").distinct()
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "key")
+    first = near.join(ids, F.col("doc_id") == F.col("key")).groupBy("component_id").agg(F.min(order).alias("first"))
+    kept = _only(docs, first.select(F.col("first.key").alias("doc_id")))
+    worded = F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    grouped = F.col("doc_id").isNotNull() | worded
+    return kept.where(grouped).dropDuplicates(["doc_id", "text"]).union(kept.where(~grouped))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of a benchmark item (operator 8)."""
-    found = contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = contamination(_keyed(docs), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return _only(docs, found.where("not contaminated"))
 
 

@@ -32,3 +32,59 @@ def test_masks_keep_to_their_own_text(spark, documents):
         (7, "card <card> is mine"): 1,
         (7, "the other text of seven, sent by <email>"): 2,
     }
+
+
+def test_filters_decide_about_rows(spark, documents):
+    item = next(row.text for row in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect() if len(row.text.split()) > 12)
+    leak = f"before it {item} after it"
+    rows = [(None, leak), (None, "clean words of no id"), (7, leak), (7, "clean words of seven"), (7, "other words of seven")]
+    kept = texts_after(corpus_pipeline.drop_contaminated, spark, documents(rows))
+    assert kept == {(None, rows[1][1]): 1, (7, rows[3][1]): 1, (7, rows[4][1]): 1}
+
+
+def test_toxic_rows_go_whatever_their_id(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    predicted = corpus_pipeline.score_toxicity(docs, corpus_pipeline.train(corpus_pipeline.labelled(spark, docs, FOLDER)))
+    good = {row.doc_id for row in predicted.where("predicted = 0").collect()}
+    texts = {row.doc_id: row.text for row in docs.collect()}
+    bad = set(texts) - good
+    assert bad and good
+    shared = docs.selectExpr("CASE WHEN doc_id = 0 THEN 0 END AS doc_id", *[f"`{c}`" for c in docs.columns if c != "doc_id"])
+    # The labels of the models belong to ids, so the ids are taken away behind the training.
+    train, corpus_pipeline.train = corpus_pipeline.train, lambda _: train(corpus_pipeline.labelled(spark, docs, FOLDER))
+    try:
+        kept = corpus_pipeline.drop_toxic(spark, shared, FOLDER).collect()
+    finally:
+        corpus_pipeline.train = train
+    assert collections.Counter(row.text for row in kept) == collections.Counter(texts[i] for i in good)
+
+
+def test_one_row_of_each_group_stays(spark, documents):
+    long = " ".join(f"w{i}" for i in range(60))
+    rows = [
+        (None, long),
+        (None, f"{long} more"),
+        (4, f"{long} words"),
+        (9, long),
+        (None, "a text that has no id and no copy"),
+        (None, "a copy among rows of no id"),
+        (None, "a copy among rows of no id"),
+        (5, "the first text of five"),
+        (5, "a second one, quite unlike it"),
+        (5, "a second one, quite unlike it"),
+        (None, None),
+        (None, " \n"),
+        (None, " \n"),
+        (6, ""),
+        (6, ""),
+    ]
+    assert texts_after(corpus_pipeline.drop_near_copies, spark, documents(rows)) == {
+        (4, rows[2][1]): 1,
+        (None, rows[4][1]): 1,
+        (None, rows[5][1]): 1,
+        (5, rows[7][1]): 1,
+        (5, rows[8][1]): 1,
+        (None, None): 1,
+        (None, " \n"): 2,
+        (6, ""): 1,
+    }
