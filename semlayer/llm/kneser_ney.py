@@ -178,13 +178,16 @@ def evidence(model: Model, texts: W.Texts) -> np.ndarray:
     found = tokens_of(texts)
     value = ratios(model, found)
     out = np.zeros((len(found.first) - 1, len(STRONGEST) + 1))
+    text = np.repeat(np.arange(len(out)), np.diff(found.first))
+    order = np.lexsort((-value, found.code, text))
+    once = np.ones(len(order), dtype=bool)
+    once[1:] = (np.diff(text[order]) != 0) | (np.diff(found.code[order]) != 0)
+    most = value[order[once]]
+    edge = np.searchsorted(text[order[once]], np.arange(len(out) + 1))
     for i, (low, high) in enumerate(zip(found.first[:-1], found.first[1:])):
         if high > low:
-            mine = value[low:high]
-            out[i, -1] = mine.mean()
-            few = np.argsort(-mine, kind="stable")[: 64 * max(STRONGEST)]
-            _, at = np.unique(found.code[low:high][few], return_index=True)
-            best = mine[few[np.sort(at)]]
+            out[i, -1] = value[low:high].mean()
+            best = -np.sort(-most[edge[i] : edge[i + 1]])[: max(STRONGEST)]
             for k, n in enumerate(STRONGEST):
                 out[i, k] = best[:n].sum() / n
     return out

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import *  # noqa: F403
 
@@ -160,3 +161,18 @@ def test_parities_differ_in_no_more_cells_than_sets_differ_in_codes():
         apart = sum(((x ^ y) % (1 << 64)).bit_count() for x, y in zip(parity_bits(a), parity_bits(b)))
         assert apart <= len(np.setxor1d(a, b))
         assert parity_bits(a) == parity_bits(a[::-1])
+
+
+def test_distinct_words_count_beyond_a_word_that_fills_the_text():
+    from semlayer.llm import kneser_ney as N
+    from semlayer.llm import words as W
+
+    codes = [int(N.tokens_of(W.texts_of(pa.array([w]), lower=True)).code[0]) for w in ("best", "second", "third", "fourth")]
+    order = np.argsort(np.array(codes, np.uint64))
+    single = np.array([4.0, 3.0, 2.0, 1.0])
+    none = np.zeros(0, np.uint64)
+    model = N.Model(np.array(codes, np.uint64)[order], single[order], none, np.zeros(0), -1.0, (0.0, 1.0, 0.0, 0.0, 0.0))
+    texts = ["best " * 300 + "second third fourth", "", "third best", "best second third fourth"]
+    seen = N.evidence(model, W.texts_of(pa.array(texts), lower=True))
+    assert seen[:, :3].tolist() == [[4.0, 3.5, 2.5], [0, 0, 0], [4.0, 3.0, 1.5], [4.0, 3.5, 2.5]]
+    assert seen[0, 3] == pytest.approx((300 * 4 + 6) / 303)
