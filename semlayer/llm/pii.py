@@ -1,22 +1,24 @@
 """Personal data by bootstrapped contextual extraction.
 
 Four base rules find e-mail addresses, IPv4 addresses, payment cards and phone numbers.  Their
-matches are the seeds of a bootstrap over the whole corpus.  An instance is any token with a digit
-or an @ in it; its patterns are the one or two words before it together with its coarse form.  Spark
+matches are the seeds of a bootstrap over the whole corpus.  An instance is any run of digit groups
+joined by blanks, dots, hyphens and brackets, and any other token with a digit or an @ in it, outside all
+base matches; its patterns are the one or two words before it together with its coarse form.  Spark
 holds the graph of patterns and instances and scores it in rounds:
 
     score of a pattern for a kind = share of its distinct instances that are trusted as that kind
     score of an instance          = 1 - product of (1 - score) over its good patterns
 
 A pattern is good with at least LEAST_SUPPORT trusted instances and a score of LEAST_SCORE; an
-instance is trusted from LEAST_TRUST.  After ROUNDS rounds the trusted instances that no base rule
-had found add their spans; base spans always stay.
+instance is trusted from LEAST_TRUST and keeps its kind.  Rounds go on until none adds an instance;
+then the trusted instances that no base rule had found add their spans; base spans always stay.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +27,6 @@ from pyspark.sql import functions as F
 from .components import written
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 LEAST_SUPPORT = 5
 LEAST_SCORE = 0.7
 LEAST_TRUST = 0.9
@@ -34,11 +35,14 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-DIGITS = re.compile(r"[0-9]+")
-#: Characters that end a token on either side.
-STOPS = frozenset(" \t\n\r\v\f\"'(),;<>[]{}=|")
-LEAST_LENGTH = 6
-MOST_LENGTH = 80
+#: Digit groups and what joins them; a dot before white space ends a sentence.  No group touches a letter.
+RUN = re.compile(
+    r"(?<!\w)[+(\[]*+[0-9]++(?!\w)(?:(?:[\x20\t\xa0()\[\]-]|\.(?!\s))++[0-9]++(?!\w))*+"
+)
+#: What ends at characters that no identifier has inside.
+TOKEN = re.compile(r"[^ \t\n\r\v\f\"'(),;<>\[\]{}=|]+")
+TELLING = re.compile(r"[0-9@]")
+WORD = re.compile(r"\S+")
 
 
 def luhn(digits: str) -> bool:
@@ -74,32 +78,53 @@ def shape(token: str) -> str:
     return "@" if "@" in token else "a9" if any(c.isalpha() for c in token) else "9"
 
 
-def before(text: str, start: int) -> list[str]:
+def before(text: str, start: int, words: list[tuple[int, int]]) -> list[str]:
     """The one and the two words before a position; the start of a text counts as a word."""
-    left = text[max(0, start - 40) : start].lower().split()[-2:]
+    upto = bisect_left(words, (start, 0))
+    left = [text[s : min(e, start)].lower() for s, e in words[max(0, upto - 2) : upto]]
     left = ["^", "^", *left][-2:]
     return [left[1], f"{left[0]} {left[1]}"]
 
 
+def runs(text: str, low: int, high: int) -> list[tuple[int, int]]:
+    """Spans of runs of digit groups; a bracket that the run does not close stays outside."""
+    out = []
+    for m in RUN.finditer(text, low, high):
+        s, e = m.span()
+        while text[s] in "([" and ")]"["([".index(text[s])] not in m.group():
+            s += 1
+        out.append((s, e))
+    return out
+
+
+def tokens(text: str, low: int, high: int) -> list[tuple[int, int]]:
+    """Spans of tokens with a digit or an @, without marks that end a sentence."""
+    out = []
+    for m in TOKEN.finditer(text, low, high):
+        if TELLING.search(m.group()):
+            out.append((m.start(), m.start() + len(m.group().rstrip(".:!?-"))))
+    return out
+
+
 def instances(text: str, spans: list[tuple[int, int, int]]) -> list[dict]:
-    """Seeds, and tokens with a digit outside all base spans, with their patterns."""
+    """Seeds, and runs and tokens outside all base spans, with their patterns."""
     out = [{"start": s, "end": e, "form": text[s:e], "kind": KINDS[k]} for s, k, e in spans]
-    upto = 0
-    for m in DIGITS.finditer(text):
-        s, e = m.span()
-        if s < upto:
-            continue
-        while s > upto and text[s - 1] not in STOPS:
-            s -= 1
-        while e < len(text) and text[e] not in STOPS:
-            e += 1
-        upto = e
-        while e > s and text[e - 1] in ".:!?-":
-            e -= 1
-        if LEAST_LENGTH <= e - s <= MOST_LENGTH and not any(a < e and s < b for a, _, b in spans):
-            out.append({"start": s, "end": e, "form": text[s:e], "kind": None})
+    if not spans and not TELLING.search(text):
+        return out
+    at = 0
+    for low, high in [*((s, e) for s, _, e in spans), (len(text), len(text))]:
+        if low > at:
+            found = runs(text, at, low)
+            starts = [s for s, _ in found]
+            for s, e in tokens(text, at, low):
+                k = bisect_left(starts, s + 1) - 1
+                if k < 0 or e > found[k][1]:
+                    found.append((s, e))
+            out += [{"start": s, "end": e, "form": text[s:e], "kind": None} for s, e in found]
+        at = max(at, high)
+    words = [m.span() for m in WORD.finditer(text)]
     for one in out:
-        one["patterns"] = [f"{left}\t{shape(one['form'])}" for left in before(text, one["start"])]
+        one["patterns"] = [f"{left}\t{shape(one['form'])}" for left in before(text, one["start"], words)]
     return out
 
 
@@ -151,8 +176,8 @@ def base_found(documents: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, FOUND)
 
 
-def bootstrapped(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(form, kind) of instances that the patterns discover.
+def bootstrapped(graph: DataFrame, rounds: int | None = None) -> DataFrame:
+    """(form, kind) of instances that the patterns discover, in so many rounds or as long as any is added.
 
     `graph` has a row for each distinct form, pattern and seed kind (null for instances that
     are no seeds).
@@ -160,8 +185,9 @@ def bootstrapped(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     seeds = graph.where("kind is not null").select("form", "kind").distinct()
     edges = written(graph.select("form", "pattern").distinct(), "pii-edges")
     size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    trusted = seeds
-    for _ in range(rounds):
+    trusted = written(seeds, "pii-seeds")
+    found, seeds = trusted.limit(0), trusted
+    while rounds is None or rounds > 0:
         good = (
             edges.join(trusted, "form")
             .groupBy("pattern", "kind")
@@ -171,8 +197,8 @@ def bootstrapped(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .withColumn("score", F.col("hits") / F.col("n"))
             .where(F.col("score") >= LEAST_SCORE)
         )
-        found = (
-            edges.join(seeds.select("form"), "form", "left_anti")
+        more = (
+            edges.join(trusted.select("form"), "form", "left_anti")
             .join(good, "pattern")
             .groupBy("form", "kind")
             .agg((1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("score"), F.lit(1e-9)))))).alias("score"))
@@ -180,12 +206,16 @@ def bootstrapped(graph: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             .groupBy("form")
             .agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
         )
-        found = written(found, "pii-found")
+        more = written(more, "pii-more")
+        if more.isEmpty():
+            break
+        found = written(found.union(more), "pii-found")
         trusted = seeds.union(found)
+        rounds = None if rounds is None else rounds - 1
     return found
 
 
-def row_spans(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def row_spans(documents: DataFrame, rounds: int | None = None) -> DataFrame:
     """The columns of `personal_data` and `row`, the xxhash64 of the text they were found in."""
     base = written(base_found(documents), "pii-base")
     each = base.select("doc_id", "row", F.explode("instances").alias("i"))
@@ -218,7 +248,7 @@ def row_spans(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return both.select(*columns).mapInArrow(run, schema)
 
 
-def personal_data(documents: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def personal_data(documents: DataFrame, rounds: int | None = None) -> DataFrame:
     """One row for each row of `documents` (doc_id, text): counts of base matches and all spans.
 
     doc_id, n_email, n_ip, n_card, n_phone, base_sha256 (of base matches as kind:start:end, by start, then

@@ -15,7 +15,7 @@ from semlayer.llm.licenses import license_scan
 from semlayer.llm.merkle import differing_paragraphs, fingerprint, fingerprints_of_edits, likeness
 from semlayer.llm.ngram_jaccard import near_duplicates, parity_bits
 from semlayer.llm.packing import hilbert_keys, packed
-from semlayer.llm.pii import masked, personal_data
+from semlayer.llm.pii import base_spans, instances, masked, personal_data
 from semlayer.llm.queries import tokenizer_path
 from semlayer.llm.substring_dedup import remove_repeated_windows
 from semlayer.llm.token_counts import token_counts
@@ -176,3 +176,35 @@ def test_distinct_words_count_beyond_a_word_that_fills_the_text():
     seen = N.evidence(model, W.texts_of(pa.array(texts), lower=True))
     assert seen[:, :3].tolist() == [[4.0, 3.5, 2.5], [0, 0, 0], [4.0, 3.0, 1.5], [4.0, 3.5, 2.5]]
     assert seen[0, 3] == pytest.approx((300 * 4 + 6) / 303)
+
+
+def test_instances_are_runs_of_digit_groups_and_tokens():
+    def forms(text):
+        return [one["form"] for one in instances(text, base_spans(text)) if one["kind"] is None]
+
+    assert forms("jane@intranet called (415) 555 0137, then 020 7946 0958.") == ["(415) 555 0137", "020 7946 0958", "jane@intranet"]
+    assert forms("card 4111 1111 1111 1112 (see 12)") == ["4111 1111 1111 1112", "12"]
+    assert forms("in 1999. 20 of id77-8 and 10.0.0.1 8080") == ["1999", "20", "8", "id77-8", "8080"]
+    assert forms("x" * 90 + "@" + "y" * 90) == ["x" * 90 + "@" + "y" * 90]
+    word = "w" * 60
+    assert instances(f"{word} {word} 4711", [])[0]["patterns"] == [f"{word}\t9", f"{word} {word}\t9"]
+
+
+def test_unseen_forms_of_seeds_are_discovered(documents):
+    rows = [(i, f"intro text {i} please call me: +1 ({100 + i}) 555-{2000 + i} soon") for i in range(40)]
+    rows += [(900, "then please call me: +1 (999) 555-12 now"), (901, "order 4711-22 of 1999-12-31")]
+    rows += [(902, "so please call me: (415) 555 0137 or"), (903, "so please call me: 020 7946 0958.")]
+    found = {row.doc_id: row for row in personal_data(documents(rows)).collect()}
+    assert (found[900].n_phone, found[900].spans, found[901].spans) == (0, "phone:21:36", "")
+    assert (found[902].spans, found[903].spans) == ("phone:19:33", "phone:19:32")
+
+
+def test_rounds_go_on_until_nothing_is_added(documents):
+    names, sizes = ["zero", "one", "two", "three", "four"], [160, 64, 26, 10, 4]
+    rows = [(i, f"chain zero: +1 ({100 + i}) 555-{2000 + i} end") for i in range(400)]
+    for k, n in enumerate(sizes):
+        for i in range(n):
+            rows += [(1000 * k + 1000 + i, f"chain {name}: 77 {k:03} {i:03} end") for name in names[k : k + 2]]
+    found = personal_data(documents(rows))
+    spans = {row.doc_id: row.spans for row in found.where("doc_id >= 5000").collect()}
+    assert len(spans) == 4 and all(s.startswith("phone:") for s in spans.values())
