@@ -2,15 +2,20 @@
 
 A sparse logistic regression over hashed word unigrams and bigrams tells the licence families
 of paragraphs (lines) apart, with an unknown class for all else.  Its positives are the
-notices below with words dropped at random; its negatives are a bounded, hashed sample of corpus
-paragraphs.  A temperature fitted on held-out examples calibrates the probabilities.  A prediction
-counts only if the paragraph also shares LEAST_SHARE of its word trigrams with a notice of that family;
-a licence-like paragraph that is not confirmed is reported as unknown.  A paragraph without any
-trigram of any notice could not be confirmed and is not scored.
+notices below with words dropped at random, short identifiers and the lines of the full texts in
+licence_texts; its negatives are a bounded, hashed sample of distinct corpus paragraphs.  A temperature
+fitted on held-out examples calibrates the probabilities.  Every paragraph with words is scored.
+
+A family is confirmed where a window of the paragraph holds LEAST_SHARE of the word trigrams of a notice,
+or a whole identifier, and the classifier gives the window to that family; else where the whole
+paragraph is given to a family that has LEAST_SHARE of its trigrams.  A paragraph that a window, or
+the classifier by words of which templates have LEAST_SHARE, takes for a licence, and that is not
+confirmed, is reported as unknown.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -19,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .decontamination import in_sorted
 
 # Notices by licence family.  Fixed values.
 NOTICES = {
@@ -46,6 +52,18 @@ NOTICES = {
     ),
     "mpl-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, version 2.0.",),
 }
+# Short forms that name a family by themselves, and what follows "SPDX-License-Identifier:".
+IDENTIFIERS = {
+    "agpl-3.0": ("AGPL-3.0", "AGPL 3", "AGPLv3", "GNU AGPL", "GNU Affero General Public License"),
+    "apache-2.0": ("Apache-2.0", "Apache 2", "Apache License 2.0", "Apache License Version 2.0"),
+    "bsd-3-clause": ("BSD-3-Clause", "3-Clause BSD", "New BSD License"),
+    "cc-by-4.0": ("CC BY 4.0", "Creative Commons Attribution 4.0"),
+    "cc-by-nc-4.0": ("CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0"),
+    "gpl-3.0": ("GPL-3.0", "GPL 3", "GPLv3", "GNU General Public License version 3", "GNU General Public License v3"),
+    "mit": ("MIT License", "MIT Licence", "MIT licensed", "license MIT", "SPDX-License-Identifier: MIT"),
+    "mpl-2.0": ("MPL-2.0", "MPL 2", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"),
+}
+TEXTS = Path(__file__).resolve().parent / "licence_texts"
 FAMILIES = (*sorted(NOTICES), "unknown")
 CELLS = 1 << 11
 VARIANTS = 40
@@ -55,10 +73,24 @@ LEAST_PROBABILITY = 0.5
 SEED = 7
 
 
+#: Trigrams of a notice lie in a window of so many times their number.
+WINDOW = 2
+
+
 class Classifier(NamedTuple):
     weights: np.ndarray
     temperature: float
     trigrams: dict[str, np.ndarray]
+    words: np.ndarray
+
+
+class Window(NamedTuple):
+    """Words of a paragraph that hold a share of a template of a family; places are those of all words."""
+
+    start: int
+    end: int
+    family: int
+    share: float
 
 
 def grams(codes: np.ndarray) -> np.ndarray:
@@ -81,6 +113,14 @@ def codes_of(paragraphs: list[str]) -> list[np.ndarray]:
     return [found.code[a:b] for a, b in zip(found.first[:-1], found.first[1:])]
 
 
+def full_text(family: str) -> list[str]:
+    """The lines with words of a family's full text, and its paragraphs as one line each."""
+    path = TEXTS / f"{family}.txt"
+    text = path.read_text() if path.exists() else ""
+    parts = text.split("\n") + [part.replace("\n", " ") for part in text.split("\n\n")]
+    return [part for part in dict.fromkeys(parts) if any(c.isalnum() for c in part)]
+
+
 def softmax(z: np.ndarray) -> np.ndarray:
     e = np.exp(z - z.max(axis=1, keepdims=True))
     return e / e.sum(axis=1, keepdims=True)
@@ -100,6 +140,10 @@ def trained(negatives: list[str], rounds: int = 200) -> Classifier:
                 kept = codes[random.random(len(codes)) > 0.15]
                 examples.append(kept if len(kept) else codes)
                 labels.append(k)
+        short, full = codes_of(list(IDENTIFIERS[family])), codes_of(full_text(family))
+        examples += short * (VARIANTS // 4) + full
+        labels += [k] * (len(short) * (VARIANTS // 4) + len(full))
+        trigrams[family] = np.unique(np.concatenate([trigrams[family], *(W.sequence_codes(c, 3) for c in full)]))
     rest = [c for c in codes_of(negatives) if len(c)]
     examples += rest
     labels += [len(FAMILIES) - 1] * len(rest)
@@ -115,14 +159,96 @@ def trained(negatives: list[str], rounds: int = 200) -> Classifier:
     scores, chosen = x[held] @ weight, y[held].argmax(axis=1)
     grid = np.geomspace(0.1, 4.0, 40)
     loss = [-np.log(softmax(scores / t)[np.arange(len(chosen)), chosen] + 1e-12).mean() for t in grid]
-    return Classifier(weight, float(grid[int(np.argmin(loss))]), trigrams)
+    words = np.unique(np.concatenate([c for c, k in zip(examples, labels) if k < len(FAMILIES) - 1]))
+    return Classifier(weight, float(grid[int(np.argmin(loss))]), trigrams, words)
+
+
+def scores(weights: np.ndarray, found: W.Words, most: int = 1 << 18) -> np.ndarray:
+    """What `features` times the weights gives, for each paragraph, by its own cells only."""
+    n = len(found.first) - 1
+    out = np.tile(weights[-1], (n, 1))
+    low = 0
+    while low < n:
+        high = max(low + 1, int(np.searchsorted(found.first, found.first[low] + most, "right")) - 1)
+        code = found.code[found.first[low] : found.first[high]]
+        place = np.repeat(np.arange(high - low), np.diff(found.first[low : high + 1]))
+        within = place[1:] == place[:-1]
+        cell = np.concatenate((code, W.sequence_codes(code, 2)[within])) % np.uint64(CELLS)
+        place = np.concatenate((place, place[:-1][within]))
+        key, times = np.unique(place * CELLS + cell.astype(np.int64), return_counts=True)
+        place, cell = key // CELLS, key % CELLS
+        value = times / np.sqrt(np.bincount(place, times * times, high - low))[place]
+        for k in range(weights.shape[1]):
+            out[low:high, k] += np.bincount(place, value * weights[cell, k], high - low)
+        low = high
+    return out
+
+
+def own_shares(found: W.Words, known: list[np.ndarray]) -> np.ndarray:
+    """The share of each paragraph's trigrams that each family has."""
+    n, three = len(found.first) - 1, W.sequence_codes(found.code, 3)
+    near = in_sorted(np.unique(np.concatenate(known)), three)
+    near = near[W.whole_starts(found.first, 3, len(found.code))[near]]
+    paragraph, total = np.searchsorted(found.first, near, "right") - 1, np.maximum(np.diff(found.first) - 2, 1)
+    return np.column_stack([np.bincount(paragraph[np.isin(three[near], own)], minlength=n) / total for own in known])
+
+
+def windows_of(found: W.Words) -> dict[int, list[Window]]:
+    """Of each paragraph: windows that hold enough of a notice, or a whole identifier."""
+    out: dict[int, list[Window]] = {}
+
+    def add(start: int, end: int, family: int, share: float) -> None:
+        paragraph = int(np.searchsorted(found.first, start, "right")) - 1
+        out.setdefault(paragraph, []).append(Window(start, end, family, share))
+
+    notices, identifiers = [], {}
+    for k, family in enumerate(FAMILIES[:-1]):
+        notices += [(k, np.unique(W.sequence_codes(c, 3))) for c in codes_of(list(NOTICES[family]))]
+        for c in codes_of(list(IDENTIFIERS[family])):
+            identifiers.setdefault(len(c), {})[W.whole_code(c)] = k
+    for length, family_of in identifiers.items():
+        codes = W.sequence_codes(found.code, length)
+        at = in_sorted(np.array(sorted(family_of), np.uint64), codes)
+        for p in at[W.whole_starts(found.first, length, len(found.code))[at]].tolist():
+            add(p, p + length, family_of[int(codes[p])], 1.0)
+    three = W.sequence_codes(found.code, 3)
+    near = in_sorted(np.unique(np.concatenate([own for _, own in notices])), three)
+    near = near[W.whole_starts(found.first, 3, len(found.code))[near]]
+    paragraph = np.searchsorted(found.first, near, "right") - 1
+    for k, own in notices:
+        some = np.isin(three[near], own)
+        places, code, line = near[some], three[near][some], paragraph[some]
+        upto = np.minimum(np.searchsorted(places, places + WINDOW * len(own)), np.searchsorted(line, line, "right"))
+        best: dict[int, tuple[float, int, int]] = {}
+        for i in np.flatnonzero(upto - np.arange(len(places)) >= LEAST_SHARE * len(own)).tolist():
+            _, last = np.unique(code[i : upto[i]], return_index=True)
+            one = (len(last) / len(own), -int(places[i + last.max()] - places[i]), int(places[i]))
+            if one[0] >= LEAST_SHARE:
+                # The best window of each stretch that is as long as a window.
+                stretch = int(places[i]) // (WINDOW * len(own))
+                best[stretch] = max(best.get(stretch, one), one)
+        for share, span, start in best.values():
+            add(start, start - span + 3, k, share)
+    return out
 
 
 def sampled_paragraphs(documents: DataFrame, most: int = MOST_NEGATIVES) -> list[str]:
-    """At most `most` paragraphs of the corpus, those of the smallest hashes."""
+    """At most `most` distinct paragraphs of the corpus without a licence's words, those of the smallest hashes."""
     lines = documents.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line"))
-    lines = lines.where("length(trim(line)) between 10 and 2000").withColumn("h", F.xxhash64("line"))
-    return [row["line"] for row in lines.orderBy("h", "line").limit(most).collect()]
+    lines = lines.where("length(trim(line)) between 10 and 2000").where(~F.col("line").rlike("(?i)licen|permi|redistribut"))
+    lines = lines.withColumn("h", F.xxhash64("line"))
+
+    def least(batches):
+        held = np.zeros(0, np.int64)
+        for batch in batches:
+            held = np.unique(np.concatenate((held, batch["h"].to_numpy())))[:most]
+        yield pa.record_batch({"h": pa.array(held)})
+
+    hashes = lines.select("h").mapInArrow(least, "h bigint").distinct().orderBy("h").limit(most).collect()
+    if not hashes:
+        return []
+    rows = lines.where(F.col("h") <= hashes[-1]["h"]).select("h", "line").distinct()
+    return [row["line"] for row in rows.orderBy("h", "line").limit(most).collect()]
 
 
 RESULT = (
@@ -136,39 +262,45 @@ def license_scan(documents: DataFrame) -> DataFrame:
 
     n_paragraphs, n_license (confirmed paragraphs), n_unknown (licence-like but not confirmed), the
     family, probability and template share of the most probable confirmed paragraph (null, 0, 0 without
-    one), and `found`, all confirmed and unknown paragraphs.  A null text has no paragraphs.
+    one), and `found`, all confirmed and unknown paragraphs; a paragraph that holds notices of several
+    families apart is there once for each.  A null text has no paragraphs.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    negatives = [
-        p for p in sampled_paragraphs(docs) if not any(w in p.lower() for w in ("licen", "permi", "redistribut"))
-    ]
-    shared = documents.sparkSession.sparkContext.broadcast(tuple(trained(negatives)))
+    shared = documents.sparkSession.sparkContext.broadcast(tuple(trained(sampled_paragraphs(docs))))
 
     def run(batches):
         model = Classifier(*shared.value)
-        known = np.unique(np.concatenate(list(model.trigrams.values())))
+        known = [model.trigrams[family] for family in FAMILIES[:-1]]
         for batch in batches:
             rows = []
             texts = batch["text"].to_pylist()
             lines = [(i, k, p) for i, t in enumerate(texts) if t is not None for k, p in enumerate(t.split("\n"))]
             found = W.words_of(W.texts_of(pa.array([p for *_, p in lines], pa.string()), lower=True), W.NOT_ALNUM_TABLE)
-            three = W.sequence_codes(found.code, 3)
-            near = np.zeros(len(three), dtype=bool)
-            if len(three):
-                at = np.minimum(np.searchsorted(known, three), len(known) - 1)
-                near = (known[at] == three) & W.whole_starts(found.first, 3, len(found.code))
-            picked = np.unique(np.searchsorted(found.first, np.flatnonzero(near), "right") - 1).tolist()
-            codes = [found.code[found.first[p] : found.first[p + 1]] for p in picked]
-            for low in range(0, len(picked), 512):
-                part = codes[low : low + 512]
-                for p, own, chance in zip(picked[low:], part, softmax(features(part) @ model.weights / model.temperature)):
-                    best = int(chance[:-1].argmax())
-                    family, value = FAMILIES[best], float(chance[best])
-                    tri = W.sequence_codes(own, 3)
-                    share = float(np.isin(tri, model.trigrams[family]).mean())
-                    sure = value >= LEAST_PROBABILITY and share >= LEAST_SHARE
-                    if sure or chance[-1] < LEAST_PROBABILITY:
-                        rows.append((lines[p][0], lines[p][1], family if sure else "unknown", value, share))
+            count = np.diff(found.first)
+            chances = softmax(scores(model.weights, found) / model.temperature)
+            shares = own_shares(found, known)
+            windows = windows_of(found)
+            flat = [w for p in windows for w in windows[p]]
+            sure: dict[Window, float] = {}
+            for low in range(0, len(flat), 512):
+                part = flat[low : low + 512]
+                given = softmax(features([found.code[w.start : w.end] for w in part]) @ model.weights / model.temperature)
+                sure |= {w: float(g[w.family]) for w, g in zip(part, given) if g[w.family] >= LEAST_PROBABILITY}
+            top = chances[:, :-1].argmax(axis=1)
+            # Words that no template has share cells with those of templates and tell nothing.
+            known_words = np.bincount(np.searchsorted(found.first, in_sorted(model.words, found.code), "right") - 1, minlength=len(count))
+            like = (chances[:, -1] < LEAST_PROBABILITY) & (known_words >= LEAST_SHARE * count)
+            for p in np.flatnonzero((count > 0) & (like | np.isin(np.arange(len(count)), list(windows)))).tolist():
+                own = sorted((w for w in windows.get(p, []) if w in sure), key=lambda w: (-w.share, w.start - w.end, -sure[w]))
+                kept: list[Window] = []
+                for w in own:
+                    if all(w.family != k.family and (w.end <= k.start or k.end <= w.start) for k in kept):
+                        kept.append(w)
+                rows += [(*lines[p][:2], FAMILIES[w.family], sure[w], w.share) for w in kept]
+                if not kept:
+                    value, share = float(chances[p, top[p]]), float(shares[p, top[p]])
+                    confirmed = value >= LEAST_PROBABILITY and share >= LEAST_SHARE
+                    rows.append((*lines[p][:2], FAMILIES[top[p]] if confirmed else "unknown", value, share))
             out: list[list] = [[] for _ in texts]
             for i, k, family, value, share in rows:
                 out[i].append({"paragraph": k, "family": family, "probability": value, "share": share})
@@ -185,7 +317,7 @@ def license_scan(documents: DataFrame) -> DataFrame:
                 {
                     "doc_id": batch["doc_id"],
                     "n_paragraphs": pa.array([0 if t is None else t.count("\n") + 1 for t in texts], pa.int64()),
-                    "n_license": pa.array([sum(x["family"] != "unknown" for x in o) for o in out], pa.int64()),
+                    "n_license": pa.array([len({x["paragraph"] for x in o if x["family"] != "unknown"}) for o in out], pa.int64()),
                     "n_unknown": pa.array([sum(x["family"] == "unknown" for x in o) for o in out], pa.int64()),
                     "family": pa.array([b and b["family"] for b in best], pa.string()),
                     "probability": pa.array([b["probability"] if b else 0.0 for b in best], pa.float64()),

@@ -11,7 +11,7 @@ from semlayer.llm.components import components
 from semlayer.llm.context_tree import score_texts
 from semlayer.llm.decontamination import contamination
 from semlayer.llm.kneser_ney import score_toxicity, train
-from semlayer.llm.licenses import license_scan
+from semlayer.llm.licenses import full_text, license_scan, sampled_paragraphs
 from semlayer.llm.merkle import differing_paragraphs, fingerprint, fingerprints_of_edits, likeness
 from semlayer.llm.ngram_jaccard import near_duplicates, parity_bits
 from semlayer.llm.packing import hilbert_keys, packed
@@ -208,3 +208,33 @@ def test_rounds_go_on_until_nothing_is_added(documents):
     found = personal_data(documents(rows))
     spans = {row.doc_id: row.spans for row in found.where("doc_id >= 5000").collect()}
     assert len(spans) == 4 and all(s.startswith("phone:") for s in spans.values())
+
+
+def test_licences_in_prose_identifiers_and_full_texts(documents):
+    prose = "the garden was quiet in the morning and nobody came down to the river before the bells had rung"
+    mit = full_text("mit")
+    cases = [
+        ("SPDX-License-Identifier: MIT", {"mit"}),
+        ("An MIT-licensed tool for gardens", {"mit"}),
+        (f"{prose} Released under the MIT License. {prose} {prose}", {"mit"}),
+        (max(mit, key=len), {"mit"}),
+        (next(line for line in mit if line.startswith("to use, copy, modify")), {"mit"}),
+        (f"{prose} SPDX-License-Identifier: Apache-2.0 {prose}", {"apache-2.0"}),
+        (f"Licensed under CC BY-NC 4.0. {prose} {prose}", {"cc-by-nc-4.0"}),
+        (f"MIT License for the code, {prose}, and Licensed under CC BY 4.0. for the text", {"mit", "cc-by-4.0"}),
+        (prose, set()),
+        ("", set()),
+    ]
+    filler = [f"{prose} {i} {' '.join(f'word{(i * k) % 97}' for k in range(1, 9))}" for i in range(300)]
+    rows = [(i, text) for i, (text, _) in enumerate(cases)] + [(1000, "\n".join(filler))]
+    found = {row.doc_id: row for row in license_scan(documents(rows)).collect()}
+    for i, (text, families) in enumerate(cases):
+        assert {x.family for x in found[i].found} - {"unknown"} == families, (text, found[i])
+        assert found[i].n_license == min(len(families), 1)
+    assert found[1000].n_license == 0
+
+
+def test_negatives_are_distinct(documents):
+    rows = [(i, "one line that is everywhere\n" * 30 + f"line number {i} of its own") for i in range(50)]
+    lines = sampled_paragraphs(documents(rows), 20)
+    assert len(lines) == len(set(lines)) == 20
