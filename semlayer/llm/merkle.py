@@ -14,6 +14,7 @@ trees.  A fingerprint holds the whole tree as four fields of fixed-width hexadec
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -89,7 +90,11 @@ def _pieces(print_: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 def likeness(a: str, b: str) -> float:
-    """1 for equal roots, else the share of bytes in pieces that both have (each as often)."""
+    """1 for equal roots, else the share of bytes in pieces that both have (each as often).
+
+    Taking equal sections and paragraphs out of both first would leave the sum as it is, since equal branches
+    have equal pieces.
+    """
     if root(a) == root(b):
         return 1.0
     (x, m), (y, n) = _pieces(a), _pieces(b)
@@ -106,20 +111,39 @@ def likeness(a: str, b: str) -> float:
 
 
 def differing_paragraphs(a: str, b: str) -> list[int]:
-    """Paragraphs of a in branches that b lacks: equal sections are passed over whole."""
+    """Paragraphs of a that b lacks, each as often: from the roots down, equal sections are passed over whole."""
     if root(a) == root(b):
         return []
 
-    def fields(print_: str, k: int) -> list[tuple[str, int]]:
-        raw = print_.split("/")[k]
-        return [(raw[i : i + 16], int(raw[i + 16 : i + 24], 16)) for i in range(0, len(raw), 24)]
-
-    sections, paragraphs = {h for h, _ in fields(b, 1)}, {h for h, _ in fields(b, 2)}
-    own, at, out = fields(a, 2), 0, []
-    for code, n in fields(a, 1):
-        if code not in sections:
-            out += [k for k in range(at, at + n) if own[k][0] not in paragraphs]
-        at += n
+    def sections(print_: str) -> list[tuple[str, list[str]]]:
+        tops, leaves = ([raw[i : i + 24] for i in range(0, len(raw), 24)] for raw in print_.split("/")[1:3])
+        out, at = [], 0
+        for top in tops:
+            n = int(top[16:], 16)
+            out.append((top[:16], [leaf[:16] for leaf in leaves[at : at + n]]))
+            at += n
+        return out
+
+    theirs, own = sections(b), sections(a)
+    spare = Counter(code for code, _ in own)
+    rest: Counter[str] = Counter()
+    for code, paragraphs in theirs:
+        if spare[code]:
+            spare[code] -= 1
+        else:
+            rest.update(paragraphs)
+    equal = Counter(code for code, _ in theirs)
+    out, at = [], 0
+    for code, paragraphs in own:
+        if equal[code]:
+            equal[code] -= 1
+        else:
+            for k, paragraph in enumerate(paragraphs, at):
+                if rest[paragraph]:
+                    rest[paragraph] -= 1
+                else:
+                    out.append(k)
+        at += len(paragraphs)
     return out
 
 
@@ -176,19 +200,21 @@ def edited_text(text: str, following: str) -> str:
 
 RESULT = (
     "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+    "near_edited double, near_next double, differing array<bigint>"
 )
 
 
 def fingerprints_of_edits(documents: DataFrame) -> DataFrame:
     """The fingerprint of each row of `documents` (doc_id, text), of its edited text, and their likeness.
 
+    `differing` has the paragraphs of the text that its edited text lacks, counted from 0.
+
     The next document is the one of the next smaller doc_id, after the last the first; one row
     alone is its own next.  A null text is empty.  Each row is one row of the result.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     names = [part.strip().split(" ")[0] for part in RESULT.split(",")]
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int64())]
 
     def run(batches):
         def rows():
@@ -201,7 +227,8 @@ def fingerprints_of_edits(documents: DataFrame) -> DataFrame:
             changed = edited_text(text, following)
             print_ = own if changed == text else fingerprint(changed)
             digest = hashlib.sha256(changed.encode()).hexdigest()
-            out.append((doc_id, len(text), digest, own, print_, likeness(own, print_), likeness(own, theirs)))
+            near = likeness(own, print_), likeness(own, theirs)
+            out.append((doc_id, len(text), digest, own, print_, *near, differing_paragraphs(own, print_)))
             size += len(own) + len(print_)
             if size > 4 << 20:
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names)

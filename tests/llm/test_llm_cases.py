@@ -238,3 +238,15 @@ def test_negatives_are_distinct(documents):
     rows = [(i, "one line that is everywhere\n" * 30 + f"line number {i} of its own") for i in range(50)]
     lines = sampled_paragraphs(documents(rows), 20)
     assert len(lines) == len(set(lines)) == 20
+
+
+def test_edits_are_located_in_the_result(documents):
+    lines = [f"line {i} with some words of its own {i * i}" for i in range(60)]
+    twice = "\n".join(["same line"] * 3 + lines)
+    once = "\n".join(["same line"] * 2 + lines)
+    assert differing_paragraphs(fingerprint(twice), fingerprint(once)) == [2]
+    found = {row.doc_id: row for row in fingerprints_of_edits(documents([(2, "\n".join(lines)), (1, "x" * 3000)])).collect()}
+    text = "\n".join(lines)
+    same = text[: len(text) - len(text) // 3].count("\n")
+    assert found[2].differing == list(range(same, 60))
+    assert fingerprints_of_edits(documents([(1, "a")])).first().differing == []
