@@ -8,8 +8,10 @@ fanned-out rows.  Seen from the home,
 * a side that can fan it out is first reduced to its distinct join key and group key values;
 * a home below the root is first added up per join key, and joined to those distinct values;
 * a filter on one side that rejects missing rows runs on that side before any of this;
-* only where another filter or a computed key needs more columns than that, so that a home row can
-  meet one group several times, are rows deduplicated by the home's primary key.
+* a key, filter or measure condition that reads one such side only is computed there, before the
+  reduction, so that the side keeps the value and not the columns;
+* only where a filter or key needs columns of both sides, so that a home row can meet one group
+  several times, are rows deduplicated by the home's primary key.
 
 Every reduction aggregates map-side before its shuffle, so a join key that holds a large share of
 the rows arrives at the join as few rows.  Each plan yields contributions, rows of group keys and
@@ -23,6 +25,7 @@ from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 from itertools import takewhile
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,19 +56,29 @@ class Part:
     keys: frozenset[str] = frozenset()
     filters: frozenset[int] = frozenset()
     repeats: bool = False  # a home row may meet one group more than once
+    flagged: frozenset[int] = frozenset()  # filters computed as columns, not yet applied
+    conditions: frozenset[int] = frozenset()  # atoms whose condition is a column
+    aggregated: bool = False  # the frame ends in an aggregate
+    single: bool = False  # one row for each join key
 
-    def joined(self, other: Part, on: Sequence[tuple[str, str]], how: str) -> Part:
-        condition = reduce(Column.__and__, (quoted(a) == quoted(b) for a, b in on))
-        frame = self.frame.join(other.frame, condition, how).drop(*(right for _, right in on))
+    def joined(self, other: Part, on: Sequence[tuple[str, str]], how: str, null_safe: bool = False) -> Part:
+        frame = self.frame.join(other.frame, equal(on, null_safe), how).drop(*(right for _, right in on))
         return Part(
             frame,
             self.paths | other.paths,
             self.keys | other.keys,
             self.filters | other.filters,
             self.repeats or other.repeats,
+            self.flagged | other.flagged,
+            self.conditions | other.conditions,
         )
 
 
+def equal(on: Sequence[tuple[str, str]], null_safe: bool = False) -> Column:
+    pairs = ((quoted(a), quoted(b)) for a, b in on)
+    return reduce(Column.__and__, (a.eqNullSafe(b) if null_safe else a == b for a, b in pairs))
+
+
 class GrainPlan:
     def __init__(
         self,
@@ -110,10 +123,11 @@ class GrainPlan:
             F.lit(None).cast(types[path][name].dataType).alias(column_name(path, name))
             for path, name in bound.uses
         ]
-        missing = self.source.frame.sparkSession.sql("SELECT 1").select(*nulls)
+        # A local relation of one row: the optimizer evaluates it, and no job runs.
+        missing = self.source.frame.sparkSession.sql("SELECT * FROM VALUES (1)").select(*nulls)
         try:
-            return missing.filter(bound.column).isEmpty()
-        except Exception:  # it raises on nulls: leave it where the query put it
+            return not missing.filter(bound.column).collect()
+        except PySparkException:  # it raises on nulls: leave it where the query put it
             return False
 
     # -- result ---------------------------------------------------------------------------
@@ -138,12 +152,25 @@ class GrainPlan:
         homes: dict[Path, list[int]] = {} if self.atoms else {self.root: []}
         for index, atom in enumerate(self.atoms):
             homes.setdefault(atom.home, []).append(index)
+        if (side := self.home_beside_root(homes)) is not None:
+            together = _HomePlan(self, side, homes[side] + homes[self.root]).contributions_with_root()
+            if together is not None:
+                return together
         frames = [_HomePlan(self, home, indexes).contributions() for home, indexes in homes.items()]
         union = frames[0]
         for frame in frames[1:]:
             union = union.unionByName(frame, allowMissingColumns=True)
         return union
 
+    def home_beside_root(self, homes: Mapping[Path, list[int]]) -> Path | None:
+        """The only home besides the root, if it is joined to it and no join repeats rows of the root."""
+        others = [home for home in homes if home != self.root]
+        joined = closed(self.paths(), self.root) - {self.root}
+        if len(others) == 1 and self.root in homes and len(others[0]) == len(self.root) + 1:
+            if all(self.kind(path) == "one" for path in joined):
+                return others[0]
+        return None
+
     def totals(self) -> list[Column]:
         """Aggregates that add contributions up."""
         return [F.sum(quoted(atom_name(i))).alias(atom_name(i)) for i in range(len(self.atoms))]
@@ -186,6 +213,14 @@ def atom_name(index: int) -> str:
     return f"__atom{index}"
 
 
+def condition_name(index: int) -> str:
+    return f"__condition{index}"
+
+
+def filter_name(index: int) -> str:
+    return f"__filter{index}"
+
+
 def _present(path: Path) -> str:
     return column_name(path, "__present")
 
@@ -272,10 +307,53 @@ class _HomePlan:
                 side = self.below(child)
                 side = self.with_join_key(side, child)
                 if self.plan.kind(child) != "one":
-                    side = self.reduced(side, self.there_names(child))
+                    side = self.reduced(self.computed(side), self.there_names(child))
                 part = self.attach(part, side, child)
         return self.filtered_early(part, path)
 
+    def computed(self, part: Part) -> Part:
+        """A side with the keys, filters and conditions as columns that read no other side."""
+        new: dict[str, Column] = {}
+        keys, flagged, conditions = set(part.keys), set(part.flagged), set(part.conditions)
+        for name, bound in self.plan.keys.items():
+            if name not in keys and not bound.plain and bound.paths and bound.paths <= part.paths:
+                new[name] = bound.column
+                keys.add(name)
+        for index, bound in enumerate(self.plan.filters):
+            if index not in part.filters | flagged and bound.paths and bound.paths <= part.paths:
+                new[filter_name(index)] = bound.column
+                flagged.add(index)
+        for index in self.indexes:
+            condition = self.plan.atoms[index].condition
+            if index not in conditions and condition is not None and condition.paths and condition.paths <= part.paths:
+                new[condition_name(index)] = condition.column
+                conditions.add(index)
+        frame = part.frame.select("*", *(column.alias(name) for name, column in new.items())) if new else part.frame
+        return replace(
+            part, frame=frame, keys=frozenset(keys), flagged=frozenset(flagged), conditions=frozenset(conditions)
+        )
+
+    def computed_bounds(self, side: Part) -> dict[str, Bound]:
+        """What a side holds as computed columns, by name."""
+        found = {name: self.plan.keys[name] for name in side.keys if name in side.frame.columns}
+        found |= {filter_name(i): self.plan.filters[i] for i in side.flagged}
+        return found | {condition_name(i): self.plan.atoms[i].condition for i in side.conditions}
+
+    def on_nulls(self, frame: DataFrame, bounds: Mapping[str, Bound], matched: Column | None = None) -> DataFrame:
+        """The computed columns of rows without a match on their side: the expression on nulls."""
+        fields = {field for bound in bounds.values() for field in bound.uses}
+        absent = [
+            F.lit(None).cast(self.source.at(path).frame.schema[name].dataType).alias(column_name(path, name))
+            for path, name in sorted(fields)
+            if column_name(path, name) not in frame.columns
+        ]
+        columns = [quoted(name) for name in frame.columns if name not in bounds]
+        values = [
+            (bound.column if matched is None else F.when(matched, quoted(name)).otherwise(bound.column)).alias(name)
+            for name, bound in bounds.items()
+        ]
+        return frame.select("*", *absent).select(*columns, *values)
+
     def filtered_early(self, part: Part, path: Path) -> Part:
         ready = [
             index
@@ -338,29 +416,48 @@ class _HomePlan:
         on = list(zip(self.here_names(path), self.there_names(path)))
         if path in self.plan.required:
             return part.joined(side, on, "inner")
-        may_be_hot = self.plan.kind(path) != "one" and len(side.frame.columns) > len(
+        may_be_hot = self.plan.kind(path) != "one" and not side.single and len(side.frame.columns) > len(
             on + [i for i in self.indexes if atom_name(i) in side.frame.columns]
         )
         if may_be_hot and shuffles_when_joined(side.frame):
             return self.attach_splittable(part, side, on)
-        return part.joined(side, on, "left")
+        bounds = self.computed_bounds(side)
+        if not bounds:
+            return part.joined(side, on, "left")
+        matched = column_name(path, "__matched")
+        side = replace(side, frame=side.frame.withColumn(matched, F.lit(True)))
+        both = part.joined(side, on, "left")
+        frame = self.on_nulls(both.frame, bounds, quoted(matched)).drop(quoted(matched))
+        return replace(both, frame=frame)
 
     def attach_splittable(self, part: Part, side: Part, on: list[tuple[str, str]]) -> Part:
         """A left join whose right side may hold many rows of one key.
 
         Adaptive execution splits a hot key on either side of an inner join, but never on the right
-        of a left join: so rows with a match are joined inner, and the rest are found apart.
+        of a left join: so rows with a match are joined inner, and the rest are found apart.  Both
+        joins compare null-safely with keys that are not null, or Spark would drop null keys from
+        the part in one of them and read it twice; and the keys are counted from all columns of an
+        aggregated side, or it would be aggregated again without the unused ones.
         """
-        matched = part.joined(side, on, "inner")
         there = [name for _, name in on]
-        keys = side.frame.select(*map(quoted, there)).distinct()
-        condition = reduce(Column.__and__, (quoted(a) == quoted(b) for a, b in on))
+        known = reduce(Column.__and__, (quoted(name).isNotNull() for name in there))
+        side = replace(side, frame=side.frame.filter(known))
+        matched = part.joined(side, on, "inner", null_safe=True)
+        if side.aggregated:
+            # Unlike max or min, bit_xor depends on repeats: the optimizer keeps the aggregate below it.
+            some = F.bit_xor(F.xxhash64(*map(quoted, side.frame.columns))).alias("__some")
+            keys = side.frame.groupBy(*map(quoted, there)).agg(some).filter("__some IS NOT NULL").drop("__some")
+        else:
+            keys = side.frame.select(*map(quoted, there)).distinct()
+        bounds = self.computed_bounds(side)
         missing = [
             F.lit(None).cast(field.dataType).alias(field.name)
             for field in side.frame.schema.fields
-            if field.name not in there
+            if field.name not in there and field.name not in bounds
         ]
-        lonely = part.frame.join(keys, condition, "left_anti").select("*", *missing)
+        lonely = part.frame.join(keys, equal(on, null_safe=True), "left_anti").select("*", *missing)
+        if bounds:
+            lonely = self.on_nulls(lonely, bounds)
         return replace(matched, frame=matched.frame.unionByName(lonely))
 
     # -- reducing -------------------------------------------------------------------------
@@ -375,23 +472,33 @@ class _HomePlan:
                 fields |= read
                 finer = finer or (bool(read) and bound.plain is None)
         for index, bound in enumerate(self.plan.filters):
-            if index not in part.filters:
+            if index not in part.filters | part.flagged:
+                read = {f for f in bound.uses if f[0] in part.paths}
+                fields |= read
+                finer = finer or bool(read)
+        for index in self.indexes if with_atoms else ():
+            atom = self.plan.atoms[index]
+            bounds = [atom.value, None if index in part.conditions else atom.condition]
+            for bound in filter(None, bounds):
                 read = {f for f in bound.uses if f[0] in part.paths}
                 fields |= read
                 finer = finer or bool(read)
-        for bound in self.atom_bounds if with_atoms else ():
-            read = {f for f in bound.uses if f[0] in part.paths}
-            fields |= read
-            finer = finer or bool(read)
         return fields, finer
 
     def reduced(self, part: Part, join_key: list[str], unique: bool = False) -> Part:
         fields, finer = self.pending(part)
-        names = [*join_key, *sorted(part.keys), *(column_name(*f) for f in sorted(fields))]
-        frame = part.frame.select(*map(quoted, dict.fromkeys(names)))
+        names = [*join_key, *sorted(part.keys), *map(filter_name, sorted(part.flagged))]
+        names = list(dict.fromkeys([*names, *(column_name(*f) for f in sorted(fields))]))
+        met = [condition_name(i) for i in sorted(part.conditions)]
+        frame = part.frame.select(*map(quoted, [*names, *met]))
         if unique and not part.repeats:
             return replace(part, frame=frame)
-        return replace(part, frame=frame.distinct(), repeats=part.repeats or finer)
+        if met:
+            frame = frame.groupBy(*map(quoted, names)).agg(*(F.max(quoted(name)).alias(name) for name in met))
+        else:
+            frame = frame.distinct()
+        single = set(names) == set(join_key)
+        return replace(part, frame=frame, repeats=part.repeats or finer, aggregated=True, single=single)
 
     def evaluated(self, part: Part) -> Part:
         """Apply the filters and compute the keys that a part holding the root can answer."""
@@ -399,7 +506,9 @@ class _HomePlan:
         filters, keys = set(part.filters), set(part.keys)
         for index, bound in enumerate(self.plan.filters):
             if index not in filters and bound.paths <= part.paths:
-                frame = frame.filter(bound.column)
+                flagged = index in part.flagged
+                frame = frame.filter(quoted(filter_name(index)) if flagged else bound.column)
+                frame = frame.drop(quoted(filter_name(index))) if flagged else frame
                 filters.add(index)
         new = {
             name: bound.column
@@ -409,22 +518,25 @@ class _HomePlan:
         if new:
             frame = frame.select("*", *(column.alias(name) for name, column in new.items()))
         return replace(
-            part, frame=frame, filters=frozenset(filters), keys=frozenset(keys | set(new))
+            part,
+            frame=frame,
+            filters=frozenset(filters),
+            keys=frozenset(keys | set(new)),
+            flagged=part.flagged - filters,
         )
 
     # -- contributions --------------------------------------------------------------------
 
-    def contribution_columns(
-        self, frame: DataFrame, indexes: Sequence[int] | None = None
-    ) -> list[Column]:
+    def contribution_columns(self, part: Part, indexes: Sequence[int] | None = None) -> list[Column]:
         columns = []
+        frame = part.frame
         indexes = self.indexes if indexes is None else indexes
         for index in indexes:
             atom = self.plan.atoms[index]
             value = F.lit(1).cast("bigint") if atom.value is None else atom.value.column
-            guard = quoted(_present(self.home)) if self.guard_home else None
+            guard = quoted(_present(self.home)) if self.guard_home and atom.home == self.home else None
             if atom.condition is not None:
-                condition = atom.condition.column
+                condition = quoted(condition_name(index)) if index in part.conditions else atom.condition.column
                 guard = condition if guard is None else guard & condition
             if guard is not None:
                 value = F.when(guard, value)
@@ -458,7 +570,7 @@ class _HomePlan:
     def finished(self, part: Part) -> DataFrame:
         """Contributions of a complete part; a home row that repeats within a group counts once."""
         keys = [quoted(key) for key in self.plan.keys]
-        sums = self.contribution_columns(part.frame)
+        sums = self.contribution_columns(part)
         if not part.repeats:
             return part.frame.select(*keys, *sums)
         if not self.indexes:
@@ -468,16 +580,16 @@ class _HomePlan:
                 f"this query joins rows that repeat rows of '{self.source.at(self.home).name}', "
                 "which needs a primary key to count each of them once"
             )
-        row = [quoted(column_name(*field)) for field in self.home_key]
+        # As a struct the key is not what the join is dealt by: each task drops its own repeats and
+        # the rest is dealt anew, so that adaptive execution may split a hot key in the join.
+        row = F.struct(*(quoted(column_name(*field)).alias(f"key{i}") for i, field in enumerate(self.home_key)))
         names = [atom_name(i) for i in self.indexes]
-        once = part.frame.select(*keys, *row, *sums).groupBy(*keys, *row)
+        once = part.frame.select(*keys, row.alias("__row"), *sums).groupBy(*keys, "__row")
         return once.agg(*(F.max(quoted(name)).alias(name) for name in names)).select(*keys, *names)
 
     def summed_before_join(self, outer: Part, inner: Part) -> DataFrame:
         """Sum the home per join key, then join the sums to the distinct outer rows."""
-        inner = replace(
-            inner, frame=inner.frame.select("*", *self.contribution_columns(inner.frame))
-        )
+        inner = replace(inner, frame=inner.frame.select("*", *self.contribution_columns(inner)))
         side = self.summed_side(inner, self.home)
         return self.selected(self.evaluated(self.attach(outer, side, self.home)))
 
@@ -485,8 +597,31 @@ class _HomePlan:
         """Contributions of a side, added up per join key and the group keys found there."""
         fields, _ = self.pending(part, with_atoms=False)
         part = self.with_join_key(part, path)
-        names = [*self.there_names(path), *(column_name(*f) for f in sorted(fields))]
-        return replace(part, frame=self.partial_sums(part.frame, names))
+        names = [*self.there_names(path), *sorted(part.keys), *map(filter_name, sorted(part.flagged))]
+        names = list(dict.fromkeys([*names, *(column_name(*f) for f in sorted(fields))]))
+        frame = self.partial_sums(part.frame, names)
+        return replace(part, frame=frame, conditions=frozenset(), aggregated=True)
+
+    def contributions_with_root(self) -> DataFrame | None:
+        """Root and home from one read: the root's sums for each group and join key, then the home's row.
+
+        A home row meets a group once for each of these, as `join_one` has one row a key.  None where
+        something reads the home and the root together.
+        """
+        part = self.evaluated(self.below(self.root, skip=self.home))
+        of_root = [i for i in self.indexes if self.plan.atoms[i].home == self.root]
+        if self.pending(part, with_atoms=False)[0]:
+            return None
+        if not all(self.plan.atoms[i].paths <= part.paths for i in of_root):
+            return None
+        part = self.with_parent_key(part, self.home)
+        part = replace(part, frame=part.frame.select("*", *self.contribution_columns(part, of_root)))
+        by = dict.fromkeys([*self.here_names(self.home), *sorted(part.keys)])
+        part = replace(part, frame=self.partial_sums(part.frame, list(by)))
+        part = self.evaluated(self.attach(part, self.with_join_key(self.below(self.home), self.home), self.home))
+        own = [i for i in self.indexes if i not in of_root]
+        columns = self.contribution_columns(part, own)
+        return part.frame.select(*map(quoted, self.plan.keys), *(quoted(atom_name(i)) for i in of_root), *columns)
 
     def selected(self, part: Part) -> DataFrame:
         return part.frame.select(
@@ -533,7 +668,7 @@ class _HomePlan:
             part = self.attach(part, side, child)
         part = self.filtered_early(part, path)
         own = [index for index in self.indexes if self.plan.atoms[index].home == path]
-        columns = self.contribution_columns(part.frame, own)
+        columns = self.contribution_columns(part, own)
         return replace(part, frame=part.frame.select("*", *columns))
 
     def one_row_contributions(self) -> DataFrame:
@@ -554,7 +689,7 @@ class _HomePlan:
                 continue
             part = self.evaluated(part)
             if not summed and all(b.paths <= part.paths for b in self.atom_bounds):
-                sums = self.contribution_columns(part.frame)
+                sums = self.contribution_columns(part)
                 part = replace(part, frame=part.frame.select("*", *sums))
                 summed = True
             if not waiting:

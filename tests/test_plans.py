@@ -241,3 +241,103 @@ def test_cross_join_of_an_empty_side(spark):
     grouped = both.query(view().group_by(other="right.k").aggregate("lefts", rights=count("right")))
     assert rows(grouped) == [(None, 2, 0)]
     assert rows(both.query(view().aggregate("lefts", rights=count("right")))) == [(2, 0)]
+
+
+@pytest.fixture
+def filed(spark, tmp_path):
+    """Orders and lines in files, a third of the lines of one order, joined as if both were large."""
+    lines = spark.range(120_000).selectExpr(
+        "IF(id % 3 = 0, 0, id) AS order_id", "id AS serial", "id % 97 AS q", "CAST(id % 5 AS string) AS flag"
+    )
+    lines.repartition(8).write.parquet(str(tmp_path / "lines.parquet"))
+    orders = spark.range(40_000).selectExpr("id", "id % 10 AS kind", "id % 211 AS price")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    lines = file_source(spark, "lines", str(tmp_path / "lines.parquet")).measure(lines=count(), quantity=sum_of("q"))
+    orders = file_source(spark, "orders", str(tmp_path / "orders.parquet")).primary_key("id")
+    orders = orders.measure(orders=count(), total=sum_of("price"))
+    settings = {
+        THRESHOLD: "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield orders.join_many(lines, {"id": "order_id"}), lines.join_one(orders, {"order_id": "id"})
+    for name, value in before.items():
+        spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
+def run_and_plan(frame):
+    found = frame.collect()
+    return found, plan_of(frame).split("== Initial Plan ==")[0]
+
+
+def test_a_reduced_side_is_read_once(filed):
+    """The joined rows and those without a match share the reads of both sides."""
+    orders, _ = filed
+    found, plan = run_and_plan(orders.query(view().group_by("lines.flag").aggregate("orders", "lines.lines")))
+    assert plan.count("FileScan") == 2 and "ReusedExchange" in plan and "LeftAnti" in plan
+    assert sum(row.lines for row in found) == 40_000 + sum(1 for i in range(40_000) if i % 3)
+    by_flag = view().group_by("lines.flag").aggregate("total")
+    found, plan = run_and_plan(orders.query(by_flag))
+    assert plan.count("FileScan") == 2 and len(found) == 6
+
+
+def test_one_sided_keys_and_conditions_need_no_deduplication(filed):
+    """Both are computed on the many side; orders without lines get their value on nulls."""
+    orders, _ = filed
+    odd = view().group_by(half=lambda o: F.coalesce(o.lines.q % 2, F.lit(-1))).aggregate("orders", "total")
+    found, plan = run_and_plan(orders.query(odd))
+    assert "__row" not in plan and plan.count("FileScan") == 2
+    alone = sum(1 for i in range(1, 40_000) if i % 3 == 0)
+    assert {row.half: row.orders for row in found}[-1] == alone
+    some = count().where(lambda o: o.lines.flag == "2")
+    none = count().where(lambda o: o.lines.flag.isNull())
+    found, plan = run_and_plan(orders.query(view().aggregate("orders", some=some, none=none)))
+    assert "__row" not in plan and plan.count("FileScan") == 2 and "LeftAnti" not in plan
+    with_two = {(0 if i % 3 == 0 else i) for i in range(120_000) if i % 5 == 2 and (i % 3 == 0 or i < 40_000)}
+    assert tuple(found[0]) == (40_000, len(with_two), alone)
+
+
+def test_a_late_filter_on_one_side_needs_no_deduplication(filed):
+    orders, _ = filed
+    kept = view().where(lambda o: F.coalesce(o.lines.flag, F.lit("2")) == "2").aggregate("orders", "total")
+    found, plan = run_and_plan(orders.query(kept))
+    matched = {(0 if i % 3 == 0 else i) for i in range(120_000) if i % 5 == 2 and (i % 3 == 0 or i < 40_000)}
+    kept = matched | {i for i in range(1, 40_000) if i % 3 == 0}
+    assert tuple(found[0]) == (len(kept), sum(i % 211 for i in kept)) and "__row" not in plan
+
+
+def test_a_hot_key_under_deduplication_is_split(filed):
+    """A filter over both sides: each task drops its own repeats, and the rest is dealt anew."""
+    orders, _ = filed
+    both = view().where(lambda o: (o.lines.serial + o.price) % 2 == 0).group_by("kind").aggregate("orders")
+    found, plan = run_and_plan(orders.query(both))
+    assert "skew=true" in plan and "__row" in plan
+    kept = {}
+    for i in range(120_000):
+        order = 0 if i % 3 == 0 else i
+        if order < 40_000 and (i + order % 211) % 2 == 0:
+            kept.setdefault(order % 10, set()).add(order)
+    assert {row.kind: row.orders for row in found} == {kind: len(ids) for kind, ids in kept.items()}
+
+
+def test_root_and_one_side_measures_share_a_read(filed):
+    _, lines = filed
+    found, plan = run_and_plan(lines.query(view().group_by("flag").aggregate("lines", "orders.orders", "orders.total")))
+    assert plan.count("FileScan") == 2
+    assert sum(row.lines for row in found) == 120_000
+    orders_of = {}
+    for i in range(120_000):
+        order = 0 if i % 3 == 0 else i
+        if order < 40_000:
+            orders_of.setdefault(str(i % 5), set()).add(order)
+    assert {row.flag: row.orders for row in found} == {flag: len(ids) for flag, ids in orders_of.items()}
+    by_kind = view().group_by("orders.kind").aggregate("lines", "orders.orders")
+    found, plan = run_and_plan(lines.query(by_kind))
+    assert plan.count("FileScan") == 2 and sum(row.lines for row in found) == 120_000
+    assert sum(row.orders for row in found) == len(set().union(*orders_of.values()))
