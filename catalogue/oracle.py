@@ -71,33 +71,43 @@ UNION ALL SELECT 'check_unlabelled', count(*) = 0, count(*) FROM documents LEFT
           WHERE quality IS NULL
 """
 
-_SUITE = """
-SELECT target, name, found = 0 AS passed,
-       CASE WHEN by_rows THEN found ELSE cast(1 AS bigint) END AS returned_rows,
-       CASE WHEN by_rows THEN concat('Check ''', name, ''' returned ', found, ' rows.')
-            ELSE concat('Check ''', name, ''' returned ', found, ' invalid records.') END AS description
+_TOLD = """
+       CASE WHEN kind = 'rows' THEN found ELSE cast(1 AS bigint) END AS returned_rows,
+       CASE WHEN kind = 'rows' AND found = 0 THEN 'no rows came back'
+            WHEN kind = 'rows' THEN concat(found, ' rows came back; there should be none')
+            WHEN found = 0 THEN concat(kind, ' is 0, as it should be')
+            ELSE concat(kind, ' is ', found, '; it should be 0') END AS description
+"""
+
+_SUITE = f"""
+SELECT target, name, found = 0 AS passed, {_TOLD}
 FROM (
-  SELECT 'orders' AS target, 'check_null_customer' AS name, false AS by_rows, count(*) AS found
+  SELECT 'orders' AS target, 'check_null_customer' AS name, 'invalid_count' AS kind, count(*) AS found
   FROM orders WHERE o_custkey IS NULL
-  UNION ALL SELECT 'orders', 'check_small_amount', false, count(*) FROM orders WHERE o_totalprice <= 5000
-  UNION ALL SELECT 'orders', 'check_status', true, count(*) FROM orders WHERE o_orderstatus NOT IN ('O', 'F', 'P')
-  UNION ALL SELECT 'documents', 'check_labelled', false, count(*)
+  UNION ALL SELECT 'orders', 'check_small_amount', 'invalid_count', count(*) FROM orders WHERE o_totalprice <= 5000
+  UNION ALL SELECT 'orders', 'check_status', 'rows', count(*) FROM orders WHERE o_orderstatus NOT IN ('O', 'F', 'P')
+  UNION ALL SELECT 'documents', 'check_labelled', 'invalid_count', count(*)
             FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL)
 """
 
-_CHECK_VIEWS = """
-SELECT 'order_report' AS target, name, found = 0 AS passed,
-       CASE WHEN kind = 'rows' THEN found ELSE cast(1 AS bigint) END AS returned_rows,
-       concat('Check ''', name, ''' returned ', found, CASE WHEN kind = 'rows' THEN ' rows.'
-              ELSE concat(' ', kind, ' records.') END) AS description
+_CHECK_VIEWS = f"""
+SELECT 'order_report' AS target, name, found = 0 AS passed, {_TOLD}
 FROM (
-  SELECT 'check_parents' AS name, 'invalid' AS kind, count(*) AS found
+  SELECT 'check_parents' AS name, 'invalid_count' AS kind, count(*) AS found
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE c_custkey IS NULL
-  UNION ALL SELECT 'check_cheap', 'failed', count(*) FROM orders WHERE o_totalprice < 20000 AND o_orderstatus = 'F'
+  UNION ALL SELECT 'check_cheap', 'fail_count', count(*) FROM orders WHERE o_totalprice < 20000 AND o_orderstatus = 'F'
   UNION ALL SELECT 'test_poor_customers', 'rows', count(DISTINCT c_name)
             FROM orders LEFT JOIN customer ON o_custkey = c_custkey WHERE c_acctbal < -900)
 """
 
+_CHECK_ERROR = f"""
+SELECT 'orders' AS target, name, found = 0 AS passed, {_TOLD}
+FROM (
+  SELECT 'check_small_amount' AS name, 'invalid_count' AS kind, count(*) AS found FROM orders WHERE o_totalprice <= 5000
+  UNION ALL SELECT 'check_null_customer', 'invalid_count', count(*) FROM orders WHERE o_custkey IS NULL)
+UNION ALL SELECT 'orders', 'check_raises', false, 0, 'could not run'
+"""
+
 _CLOSURE = """
 WITH RECURSIVE edges AS (
   SELECT 'order:' || o_orderkey AS src, 'customer:' || o_custkey AS dst FROM orders
@@ -282,6 +292,12 @@ ORACLE: dict[str, str] = {
     "materialized_sql_view": """
         SELECT o_orderstatus AS status, count(*) AS total_orders FROM orders GROUP BY ALL""",
     "materialized_record": _ORDERS_RECORD,
+    "materialized_preview": """
+        SELECT o_orderstatus AS status, cast(sum(o_totalprice) AS decimal(38,2)) AS total_revenue,
+               count(*) AS total_orders FROM orders GROUP BY ALL""",
+    "row_limit_select": """
+        SELECT o_orderkey, o_totalprice FROM orders
+        ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 25""",
     "downstream_digest": """
         SELECT count(*) AS vip_count
         FROM (SELECT c_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey
@@ -290,6 +306,7 @@ ORACLE: dict[str, str] = {
     "check_positive_amount": "SELECT count(*) AS invalid_count FROM orders WHERE o_totalprice <= 0",
     "check_offending_rows": _CUSTOMER + " WHERE c_acctbal < 0",
     "check_verdicts": _VERDICTS,
+    "check_error": _CHECK_ERROR,
     "check_suite": _SUITE,
     "check_views": _CHECK_VIEWS,
     "lineage_closure": _CLOSURE,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from catalogue.model import Model
 from semlayer import (
+    PREVIEW_ROWS,
     Check,
     Written,
     checks_of,
@@ -19,6 +20,7 @@ from semlayer import (
     primary_key_violations,
     file_source,
     read_file,
+    release,
     run_suite,
     shared_folder,
     sql_source,
@@ -168,6 +170,13 @@ def select_joined_field(m: Model) -> DataFrame:
     return m.orders.query(view().select("o_orderkey", "customer.name", "customer.nation.n_name"))
 
 
+@registered
+def row_limit_select(m: Model) -> DataFrame:
+    """A row cap on a run: the dearest orders, ties by the other columns."""
+    dearest = view().select("o_orderkey", "o_totalprice").order_by("-o_totalprice").limit(25)
+    return m.orders.query(dearest)
+
+
 @registered
 def select_joined_many(m: Model) -> DataFrame:
     """One row per order and line, and one for each order without lines."""
@@ -566,6 +575,16 @@ def materialized_record(m: Model) -> DataFrame:
     )
 
 
+@registered
+def materialized_preview(m: Model) -> DataFrame:
+    """The first rows of the record, here all of a small table, after the table was written twice."""
+    first = m.orders.query("status_breakdown")
+    stored(m, rounded(first, total_revenue=2), "semlayer_status")
+    record = materialize(rounded(first, total_revenue=2), "semlayer_status", folder=scratch(m.spark), preview_rows=PREVIEW_ROWS)
+    release(m.spark, record)
+    return m.spark.createDataFrame(list(record.preview), m.spark.table("semlayer_status").schema)
+
+
 @registered
 def downstream_digest(m: Model) -> DataFrame:
     stored(m, view_customer_performance(m), "semlayer_digest_input")
@@ -614,6 +633,18 @@ def check_verdicts(m: Model) -> DataFrame:
     return run_suite(m.spark, checks).select("name", "passed", "returned_rows")
 
 
+@registered
+def check_error(m: Model) -> DataFrame:
+    """A check that raises has failed, and the others of its shared scan still have their verdicts."""
+    checks = [
+        Check.counting("check_small_amount", m.orders, lambda o: o.o_totalprice <= 5000),
+        Check.counting("check_raises", m.orders, lambda o: o.o_orderpriority.cast("int") > 0),
+        Check.counting("check_null_customer", m.orders, lambda o: o.o_custkey.isNull()),
+    ]
+    told = F.substring_index("description", ":", 1).alias("description")
+    return run_suite(m.spark, checks).select("target", "name", "passed", "returned_rows", told)
+
+
 @registered
 def check_suite(m: Model) -> DataFrame:
     """Three checks of orders share one scan; the one on documents follows a join."""

@@ -8,10 +8,12 @@ from semlayer.operators.checks import Check, checks_of, is_check, run_check, run
 from semlayer.operators.closure import shared_folder, source_edges, transitive_closure
 from semlayer.operators.keys import primary_key_violations
 from semlayer.operators.materialize import (
+    PREVIEW_ROWS,
     Written,
     materialize,
     materialize_sql,
     preview,
+    release,
     to_arrow,
     write_files,
     write_rows,
@@ -21,6 +23,7 @@ from semlayer.sources.readers import file_source, read_file, sql_source, table_s
 from semlayer.sources.source import Source
 
 __all__ = [
+    "PREVIEW_ROWS",
     "Check",
     "Source",
     "View",
@@ -37,6 +40,7 @@ __all__ = [
     "primary_key_violations",
     "ratio",
     "read_file",
+    "release",
     "run_check",
     "run_suite",
     "shared_folder",

@@ -34,6 +34,7 @@ class Written:
     duration_seconds: float
     location: str | None = None
     previous_location: str | None = None
+    preview: tuple[Row, ...] = ()
 
 
 def schema_columns(frame: DataFrame) -> tuple[tuple[str, str], ...]:
@@ -46,12 +47,13 @@ def materialize(
     mode: str = "table",
     file_format: str = "parquet",
     folder: str | None = None,
+    preview_rows: int = 0,
 ) -> Written:
     """Create or replace a table (``folder`` defaults to the warehouse) or a session view.
 
     A view made of a DataFrame lives as long as the session; use ``materialize_sql`` for a stored
     one.  The folder of a replaced table is kept for its readers and returned as
-    ``previous_location``.
+    ``previous_location``; ``release`` drops it.  A preview reads that many rows of what was written.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}, not {mode!r}")
@@ -66,9 +68,30 @@ def materialize(
     location = f"{root.rstrip('/')}/{target}/run-{uuid.uuid4().hex}"
     rows = write_files(frame, location, file_format)
     previous = _publish(spark, target, location, file_format, frame.schema)
-    return Written(
-        target, mode, rows, schema_columns(frame), _since(started), location, previous
-    )
+    head = tuple(preview(spark, target, preview_rows)) if preview_rows else ()
+    return Written(target, mode, rows, schema_columns(frame), _since(started), location, previous, head)
+
+
+def release(spark: SparkSession, written: Written) -> bool:
+    """Drop the folder that a materialisation replaced; True if there was one.
+
+    For the caller to call when no reader of the old table is left.  Only a folder that
+    ``materialize`` made is dropped, and never the one the table stands on now.
+    """
+    old = written.previous_location
+    if not old or not re.fullmatch(r"run-[0-9a-f]{32}", old.rstrip("/").rsplit("/", 1)[-1]):
+        return False
+    if spark.catalog.tableExists(written.target_table) and _same_folder(_stored_as(spark, written.target_table)[1], old):
+        return False
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(old)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _same_folder(one: str, other: str) -> bool:
+    """Whether two spellings of a location, with or without a scheme, are one path."""
+    plain = [re.sub(r"^file:/*", "/", text).rstrip("/") for text in (one, other)]
+    return plain[0] == plain[1]
 
 
 def materialize_sql(spark: SparkSession, text: str, target: str) -> Written:

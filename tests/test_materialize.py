@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import pytest
 from demo import CUSTOMER_SCHEMA, CUSTOMERS, orders_source
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from semlayer import (
     materialize,
     materialize_sql,
     preview,
+    release,
     sql_source,
     sum_of,
     table_source,
@@ -119,3 +122,18 @@ def test_rows_and_arrow(spark, tmp_path):
     arrow = to_arrow(spark.read.parquet(path), row_limit=3)
     assert arrow.num_rows == 3
     assert arrow.column_names == ["id", "name", "segment", "state"]
+
+
+def test_preview_and_release(spark, tmp_path):
+    folder = str(tmp_path)
+    first = materialize(spark.range(8), "previewed", folder=folder, preview_rows=3)
+    assert [row.id for row in first.preview] and len(first.preview) == 3
+    assert not release(spark, first)
+    second = materialize(spark.range(9), "previewed", folder=folder)
+    assert second.preview == () and second.previous_location
+    assert release(spark, second) and spark.table("previewed").count() == 9
+    assert not (tmp_path / "previewed" / first.location.rsplit("/", 1)[-1]).exists()
+    assert not release(spark, replace(second, previous_location=second.location))
+    assert not release(spark, replace(second, previous_location=str(tmp_path)))
+    assert spark.table("previewed").count() == 9
+    spark.sql("DROP TABLE previewed")
