@@ -7,7 +7,7 @@ length cuts its space into cells; every word is dealt to the cell it lies in, an
 each cell whose box is within its distance.  A cell is then one group: a k-d tree over its words,
 whose tight boxes prune the queries, and a comparison of the letters' order for what is left.
 
-The cuts of a length's tree come from SAMPLE_WORDS words at most, drawn by a hash; they only decide how
+The cuts of a length's tree come from about SAMPLE_WORDS words, drawn by a hash; they only decide how
 even the cells are.  Cells reach over all of space, so words that were not drawn are found all the
 same.  Where more words share one vector than a cell should have, they are dealt to several
 groups and queries go to each.  A query leaves a cell as one row, its number of near words and the
@@ -36,7 +36,7 @@ LEAST_LETTERS, LEAST_COUNT = 6, 5
 DAMAGED_ONE_IN = 199
 #: A form is at least this many times as frequent.
 FORM_TIMES = 5
-#: Words that the cuts of the cells are taken from, at most.
+#: Words that the cuts of the cells are taken from: all, or a share by hash that is about as many.
 SAMPLE_WORDS = 100_000
 CELL_WORDS = (256, 16_384)
 LEAF_WORDS = 12
@@ -341,7 +341,8 @@ def near_words(words: DataFrame, sample_words: int = SAMPLE_WORDS, cell_words: i
     if cell_words is None:
         least, most = CELL_WORDS
         cell_words = min(most, max(least, total // (2 * partitions_of(words.sparkSession))))
-    sample = [row.word for row in words.orderBy(F.xxhash64("word"), "word").limit(sample_words).select("word").collect()]
+    share = min(1 << 32, (sample_words << 32) // max(total, 1))
+    sample = [row.word for row in words.where(F.pmod(F.xxhash64("word"), F.lit(1 << 32)) < share).select("word").collect()]
     cells = Cells(sample, total / max(len(sample), 1), cell_words)
     found = dealt(words, cells).groupBy("cell").applyInArrow(searched, FOUND)
     alone = words.select("word", "n", F.lit(0).cast("bigint"), F.lit(None).cast("bigint"), F.lit(None).cast("string"))
