@@ -1,8 +1,10 @@
 """Words and rolling hashes of whole texts, vectorised over the bytes of an Arrow array.
 
-A polynomial hash over random byte values is taken modulo 2**64 and mixed; the same function
-over word hashes gives the hashes of word sequences.  Equal sequences always have equal
-hashes; two different ones collide with a probability of about 2**-64.
+A polynomial hash over random byte values is taken modulo 2**64 and modulo the prime 2**31 - 1, and
+both are mixed into 64 bits; the same function over word hashes gives the hashes of word sequences.
+Equal sequences always have equal hashes.  Modulo a power of two alone, some sequences collide
+whatever the values are (those of Thue and Morse); modulo a prime no such pairs exist, and two
+sequences that differ have one hash only if both remainders meet.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ import pyarrow.compute as pc
 BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 SEED = 20260801
+PRIME = (1 << 31) - 1
 SEGMENT_BYTES = 1 << 20
 
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
@@ -88,8 +91,8 @@ class _Tables(dict):
 _tables = _Tables()
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i up to n."""
+def _powers(base: int, n: int) -> tuple[np.ndarray, ...]:
+    """base**i and base**-i for i up to n, modulo 2**64 and modulo PRIME."""
     have = _tables.get(base)
     if have is None or len(have[0]) <= n:
         size = max(n + 1, SEGMENT_BYTES)
@@ -97,10 +100,42 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         up[1:] = np.uint64(base)
         down[1:] = np.uint64(pow(base, -1, 1 << 64))
-        have = _tables[base] = (np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64))
+        wrapping = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+        have = _tables[base] = (*wrapping, _prime_powers(base % PRIME, size), _prime_powers(pow(base, -1, PRIME), size))
     return have
 
 
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    """base**i modulo PRIME for i below n, by doubling."""
+    powers = np.ones(n, np.uint64)
+    done = 1
+    while done < n:
+        more = min(done, n - done)
+        powers[done : done + more] = remainder(powers[:more] * np.uint64(pow(base, done, PRIME)))
+        done += more
+    return powers.astype(np.uint32)
+
+
+def remainder(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, where a power of two is one less than the prime plus two: shifts do."""
+    prime, bits = np.uint64(PRIME), np.uint64(31)
+    x = (x & prime) + (x >> bits)
+    x = (x & prime) + (x >> bits)
+    return np.where(x >= prime, x - prime, x)
+
+
+def _runs(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of values[start:end] for each pair; equal for equal runs, wherever they start."""
+    up, down, prime_up, prime_down = _powers(base, len(values))
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * up[: len(values)], out=sums[1:])
+    wrapping = (sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)
+    np.cumsum(remainder(remainder(values) * prime_up[: len(values)]), out=sums[1:])
+    prime = remainder(remainder(sums[end] - sums[start]) * prime_down[start])
+    # An odd multiple of the remainder: one sum for two remainders is impossible.
+    return mixed(wrapping + prime * np.uint64(BYTE_BASE))
+
+
 def _byte_values() -> np.ndarray:
     if SEED not in _tables:
         _tables[SEED] = np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -132,11 +167,7 @@ def words_of(texts: Texts, table: np.ndarray = BLANK_TABLE) -> Words:
         low = start[done]
         upto = max(done + 1, int(np.searchsorted(end, low + SEGMENT_BYTES, "right")))
         high = end[upto - 1]
-        up, down = _powers(BYTE_BASE, int(high - low))
-        sums = np.zeros(high - low + 1, np.uint64)
-        np.cumsum(values[data[low:high]] * up[: high - low], out=sums[1:])
-        s, e = start[done:upto] - low, end[done:upto] - low
-        code[done:upto] = mixed((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        code[done:upto] = _runs(values[data[low:high]], BYTE_BASE, start[done:upto] - low, end[done:upto] - low)
         done = upto
     return Words(start, end, code, first)
 
@@ -150,12 +181,8 @@ def sequence_codes(code: np.ndarray, length: int) -> np.ndarray:
     step = SEGMENT_BYTES
     for low in range(0, n, step):
         high = min(n, low + step)
-        part = code[low : high + length - 1]
-        up, down = _powers(WORD_BASE, len(part))
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(part * up[: len(part)], out=sums[1:])
-        k = high - low
-        out[low:high] = mixed((sums[length : length + k] - sums[:k]) * down[:k] + np.uint64(length))
+        at = np.arange(high - low)
+        out[low:high] = _runs(code[low : high + length - 1], WORD_BASE, at, at + length)
     return out
 
 
