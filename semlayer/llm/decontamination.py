@@ -80,7 +80,7 @@ def occurrences(documents: DataFrame, keys: np.ndarray, lengths: list[int]) -> d
     def run(batches):
         wanted, sizes = shared.value
         total = np.zeros(len(wanted), np.int64)
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.text_slices(whole)):
             found = W.words_of(W.texts_of(batch["text"], lower=True), W.NOT_ALNUM_TABLE)
             for size in sizes:
                 codes = W.sequence_codes(found.code, size)
@@ -154,7 +154,7 @@ def marked(documents: DataFrame, index: Index, lengths: list[int]) -> DataFrame:
     def run(batches):
         fields, sizes = shared.value
         own = Index(*fields)
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.text_slices(whole)):
             found = W.words_of(W.texts_of(batch["text"], lower=True), W.NOT_ALNUM_TABLE)
             s, w = verified_windows(own, found, sizes)
             rows = batch.to_pydict()
@@ -174,12 +174,12 @@ def marked(documents: DataFrame, index: Index, lengths: list[int]) -> DataFrame:
                 }
             )
 
-    return documents.mapInArrow(run, HITS)
+    return documents.mapInArrow(X.given_back(run), HITS)
 
 
 def summed_up(documents: DataFrame) -> DataFrame:
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.text_slices(whole)):
             first = W.words_of(W.texts_of(batch["text"], lower=True), W.NOT_ALNUM_TABLE).first
             n_words, n_hit, digest, spans = np.diff(first), [], [], []
             for n, starts, ends, items in zip(n_words, *(batch[c].to_pylist() for c in ("starts", "ends", "items"))):

@@ -12,10 +12,12 @@ executor has the same rows, and its blocks do not depend on their order.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,30 @@ def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = 2 * MB) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about `most` bytes of a string column, and one row at least: bounds what becomes Python objects."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    low = 0
+    while low < batch.num_rows:
+        high = max(low + 1, int(np.searchsorted(size, (size[low - 1] if low else 0) + most, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
+def given_back(run: Callable) -> Callable:
+    """A function of batches that returns freed memory to the system at its end: Python workers live on."""
+
+    def wrapped(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not the C library of GNU
+            pass
+
+    return wrapped
+
+
 def batch_count(spark: SparkSession, total: int) -> int:
     """Batches of 4 to 64 MB of text, and enough of them to occupy every shuffle partition."""
     size = min(64 * MB, max(4 * MB, total // 4096))

@@ -28,11 +28,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from . import words as W
 from .components import written
+from .exchange import given_back, text_slices
 
 #: The discount of a count of the smaller class; that of the other is as much larger as the class.
 DISCOUNT = 4.0
@@ -78,7 +79,7 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             toxic = np.array(batch["toxic"].to_pylist(), np.int64)
             found = tokens_of(W.texts_of(batch["text"], lower=True))
             text = np.repeat(np.arange(len(toxic)), np.diff(found.first))
@@ -216,10 +217,15 @@ def probability(model: Model, seen: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(model.curve[0] + seen @ np.array(model.curve[1:]), -30, 30)))
 
 
+def training_share(size: Row, most_training: int = MOST_TRAINING, most_bytes: int = MOST_BYTES) -> float:
+    """Which share of so many (n) distinct texts of so many bytes training takes."""
+    return min(1.0, most_training / max(size["n"], 1), most_bytes / max(size["bytes"] or 0, 1))
+
+
 def train(labelled: DataFrame, most_training: int = MOST_TRAINING, most_bytes: int = MOST_BYTES) -> Model:
     """A model of rows (text, toxic 0 or 1; other labels are left out).  Equal texts count once.
 
-    Three of four sampled rows give the counts, the fourth the curve, so that the curve is fitted
+    Without any toxic label every score is below 0.5.  Three of four sampled rows give the counts, the fourth the curve, so that the curve is fitted
     on documents whose words the model has not seen.
     """
     rows = labelled.where("toxic in (0, 1)").select(
@@ -227,19 +233,22 @@ def train(labelled: DataFrame, most_training: int = MOST_TRAINING, most_bytes: i
     )
     rows = rows.groupBy("text").agg(F.max("toxic").alias("toxic")).withColumn("dealt", F.pmod(F.xxhash64("text"), F.lit(1 << 32)))
     size = rows.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    share = min(1.0, most_training / max(size["n"], 1), most_bytes / max(size["bytes"] or 0, 1))
+    share = training_share(size, most_training, most_bytes)
     rows = rows.where(F.col("dealt") < int(share * (1 << 32)))
     model = fitted(gram_counts(rows.where("dealt % 4 <> 0")))
     shared = labelled.sparkSession.sparkContext.broadcast(tuple(model))
 
     def judge(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             seen = evidence(Model(*shared.value), W.texts_of(batch["text"], lower=True))
             yield pa.record_batch({**evidence_columns(seen), "toxic": batch["toxic"]})
 
     seen = rows.where("dealt % 4 = 0").select("text", "toxic").mapInArrow(judge, f"{EVIDENCE}, toxic int").toPandas()
     if seen["toxic"].nunique() < 2:
-        return model
+        # Too few labels for a curve: the share of toxic ones, or the plain evidence where both occur.
+        n = rows.agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("ordinary")).first()
+        slope = 1.0 if n["toxic"] and n["ordinary"] else 0.0
+        return model._replace(curve=(float(np.log((n["toxic"] + 0.5) / (n["ordinary"] + 1.0))), 0.0, 0.0, 0.0, slope))
     x = np.column_stack((np.ones(len(seen)), seen[[*evidence_columns(np.zeros((0, 4)))]]))
     return model._replace(curve=tuple(logistic(x, seen["toxic"].to_numpy().astype(float))))
 
@@ -252,7 +261,7 @@ def score_toxicity(documents: DataFrame, model: Model) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             trained = Model(*shared.value)
             seen = evidence(trained, W.texts_of(batch["text"], lower=True))
             p = probability(trained, seen)
@@ -266,6 +275,6 @@ def score_toxicity(documents: DataFrame, model: Model) -> DataFrame:
             )
 
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(run, RESULT)
+    return docs.mapInArrow(given_back(run), RESULT)
 
 

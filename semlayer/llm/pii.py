@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import written
+from .exchange import given_back, text_slices
 
 KINDS = ("email", "ip", "card", "phone")
 LEAST_SUPPORT = 5
@@ -153,7 +154,7 @@ def base_found(documents: DataFrame) -> DataFrame:
     )
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_slices(whole)):
             columns: dict[str, list] = {f"n_{k}": [] for k in KINDS} | {"base": [], "base_sha256": [], "instances": []}
             for text in batch["text"].to_pylist():
                 text = text or ""
@@ -173,7 +174,7 @@ def base_found(documents: DataFrame) -> DataFrame:
         F.xxhash64(F.col("text").cast("string")).alias("row"),
         F.col("text").cast("string").alias("text"),
     )
-    return docs.mapInArrow(run, FOUND)
+    return docs.mapInArrow(given_back(run), FOUND)
 
 
 def bootstrapped(graph: DataFrame, rounds: int | None = None) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .components import written
 from .context_tree import score_texts
 from .decontamination import contamination
-from .kneser_ney import score_toxicity, train
+from .kneser_ney import score_toxicity, train, training_share
 from .licenses import license_scan
 from .merkle import fingerprints_of_edits
 from .mixing import taken_words
@@ -55,7 +55,7 @@ def op5_hilbert_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op6_context_tree_score(spark: SparkSession, folder: str) -> DataFrame:
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
     scored = score_texts(table(spark, folder, "documents").withColumn("train", ~held_out))
     return scored.withColumn("held_out", held_out).drop("train")
 
@@ -70,13 +70,23 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, documents: DataFrame, folder: str) -> DataFrame:
-    """(text, toxic) of the documents whose labels may be learnt from."""
-    labels = table(spark, folder, "labels").where(~fold()).select("doc_id", "toxic")
-    return documents.select("doc_id", "text").join(labels, "doc_id")
+    """(text, toxic) of the documents whose labels may be learnt from, or of as many as training takes.
+
+    Labels meet hashes of texts, the sample is drawn among distinct hashes, and only its texts are
+    fetched: at most MOST_TRAINING hashes, which is what bounds the broadcast.
+    """
+    labels = table(spark, folder, "labels").where(~fold()).where("toxic in (0, 1)").select("doc_id", "toxic")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    light = documents.select("doc_id", F.xxhash64(text).alias("code"), F.octet_length(text).alias("size")).join(labels, "doc_id")
+    distinct = written(light.groupBy("code").agg(F.max("toxic").alias("toxic"), F.max("size").alias("size")), "labelled")
+    share = training_share(distinct.agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).first())
+    sample = distinct.where(F.pmod("code", F.lit(1 << 32)) < int(share * (1 << 32))).select("code", "toxic")
+    return documents.select(text.alias("text"), F.xxhash64(text).alias("code")).join(F.broadcast(sample), "code").select("text", "toxic")
 
 
 def fold() -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    """Whether a row is held out; a null doc_id counts as an empty string."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(5)) == 0
 
 
 def op9_kneser_ney_toxicity(spark: SparkSession, folder: str) -> DataFrame:

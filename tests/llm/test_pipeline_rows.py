@@ -88,3 +88,20 @@ def test_one_row_of_each_group_stays(spark, documents):
         (None, " \n"): 2,
         (6, ""): 1,
     }
+
+
+CLASHES = "kept found code spans id key first last row batch size toxic score component_id contaminated slot curve".split()
+
+
+def test_stages_bear_clashing_names_and_empty_tables(spark):
+    schema = ", ".join(["doc_id bigint, text string, lang string, source string, n_chars bigint", *(f"{c} string" for c in CLASHES)])
+    tail = ("en", "s", 9, *CLASHES)
+    rows = [(1, "write to a.b@c.de now", *tail), (2, "some other words are here", *tail), (None, None, *tail), (3, "", *tail)]
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, FOLDER)
+            assert out.columns == docs.columns
+            found = out.collect()
+            assert len(found) == docs.count(), name
+            assert all(row[c] == c for row in found for c in CLASHES)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
