@@ -13,6 +13,7 @@ the ranges then place their documents independently.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import sys
@@ -25,15 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import written
-from .exchange import partitions_of, text_bytes
+from .exchange import MB, given_back, partitions_of, text_bytes, text_slices
 from .words import mixed
 
 LENGTH = 4096
 END = 2
 DIMENSIONS = 3
 BITS = 8
-#: Units of either kind whose ids a worker remembers.
-REMEMBERED = 250_000
+#: Bytes of units of either kind, with their ids, that a worker remembers; a unit's own cost beside its letters.
+REMEMBERED_BYTES, UNIT_BYTES = 48 << 20, 200
 #: A special token of the tokenizer, which always stands alone.
 SEPARATOR = "<|endoftext|>"
 SEED = 4096
@@ -74,10 +75,12 @@ def signs(vocabulary: int) -> np.ndarray:
 
 
 def curve_keys(ids: list[np.ndarray], directions: np.ndarray) -> np.ndarray:
-    """The Hilbert keys of some documents' hashed vectors."""
+    """The Hilbert keys of some documents' hashed vectors; each has an id at least, its END."""
     if not ids:
         return np.zeros(0, np.int64)
-    mean = np.array([directions[x % len(directions)].mean(axis=0) for x in ids])
+    size = np.fromiter(map(len, ids), np.int64, len(ids))
+    sums = np.add.reduceat(directions[np.concatenate(ids) % len(directions)], np.cumsum(size) - size)
+    mean = sums / size[:, None]
     points = ((np.tanh(2.0 * mean) + 1) * (1 << (BITS - 1))).astype(np.int64)
     return hilbert_keys(np.clip(points, 0, (1 << BITS) - 1), BITS)
 
@@ -85,6 +88,9 @@ def curve_keys(ids: list[np.ndarray], directions: np.ndarray) -> np.ndarray:
 # The tokenizer's own split of lower-cased text, for characters up to U+00FF.  Fixed values.
 LETTERS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff"
 NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
+#: How the tokenizer that is encoded by units describes itself.  Fixed values.
+BLANKS_TO_ONE = {"Regex": "\\s+"}
+UNIT_PATTERN = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
 UNITS = re.compile(
     f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\t-\\r \x85\xa0{LETTERS}{NUMBERS}]+"
 )
@@ -103,22 +109,50 @@ def units_of(text: str) -> list[str]:
     return UNITS.findall(text.lower()) if "<|" not in text else text.replace("\n", " ").split(" ")
 
 
-def remembered() -> tuple[dict[str, bytes], dict[str, bytes]]:
-    """Ids of units met again, and of units met once: kept by a Python worker from task to task."""
+class Remembered:
+    """Ids of units met again, and of units met once."""
+
+    def __init__(self):
+        self.often: dict[str, bytes] = {}
+        self.once: dict[str, bytes] = {}
+
+    def bound(self) -> None:
+        for units in (self.often, self.once):
+            if len(units) * UNIT_BYTES > REMEMBERED_BYTES or sum(map(len, units)) > REMEMBERED_BYTES:
+                units.clear()
+
+
+def remembered(path: str) -> Remembered:
+    """What a Python worker keeps of a tokenizer from task to task."""
     state = sys.modules.setdefault("semlayer_worker_state", types.ModuleType("semlayer_worker_state"))
-    return state.__dict__.setdefault("units", ({}, {}))
+    kept = state.__dict__.setdefault("units", {})
+    if path not in kept:
+        kept.clear()
+        kept[path] = Remembered()
+    return kept[path]
+
+
+def split_as_units(tokenizer) -> bool:
+    """Whether a tokenizer lower-cases and splits texts as `units_of` does."""
+    described = json.loads(tokenizer.to_str())
+    steps = (described.get("normalizer") or {}).get("normalizers", [])
+    splits = (described.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if [step["type"] for step in steps] != ["NFC", "Replace", "Lowercase"] or steps[1]["pattern"] != BLANKS_TO_ONE:
+        return False
+    return len(splits) == 2 and splits[0].get("pattern") == UNIT_PATTERN and splits[1]["type"] == "ByteLevel"
 
 
 class UnitEncoder:
-    """Ids of whole texts from ids of their units."""
+    """Ids of whole texts, from ids of their units where the tokenizer splits texts into such units."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_units = split_as_units(self.tokenizer)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        self.often, self.once = remembered()
+        self.known = remembered(path)
 
     def _learn(self, units: list[str]) -> None:
         """Encode units in one call; the separator's id shows where each ends."""
@@ -127,20 +161,22 @@ class UnitEncoder:
         cut = np.flatnonzero(ids == self.separator) if len(units) > 1 else np.zeros(0, np.int64)
         low, data = [0, *(4 * (cut + 1)).tolist()], ids.tobytes()
         for unit, a, b in zip(units, low, [*(4 * cut).tolist(), len(data)]):
-            self.once[unit] = data[a:b]
+            self.known.once[unit] = data[a:b]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and END, as 32-bit little-endian numbers."""
+        end = np.array([END], "<u4").tobytes()
+        if not self.by_units:
+            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+            return [np.array(one.ids, "<u4").tobytes() + end for one in coded]
         split = [units_of(t) for t in texts]
         wanted = set().union(*split)
-        ids = {u: self.often[u] for u in wanted if u in self.often}
+        often, once = self.known.often, self.known.once
+        ids = {u: often[u] for u in wanted if u in often}
         rest = wanted.difference(ids)
-        again = {u: self.once.pop(u) for u in rest.intersection(self.once)}
-        if len(self.often) + len(again) > REMEMBERED:
-            self.often.clear()
-        if len(self.once) > REMEMBERED:
-            self.once.clear()
-        self.often.update(again)
+        again = {u: once.pop(u) for u in rest.intersection(once)}
+        self.known.bound()
+        often.update(again)
         new = rest.difference(again)
         plain = [u for u in new if SEPARATOR not in u]
         for low in range(0, len(plain), 8192):
@@ -149,8 +185,7 @@ class UnitEncoder:
             if SEPARATOR in unit:
                 self._learn([unit])
         ids.update(again)
-        ids.update((u, self.once[u]) for u in new)
-        end = np.array([END], "<u4").tobytes()
+        ids.update((u, once[u]) for u in new)
         return [b"".join([*map(ids.__getitem__, units), end]) for units in split]
 
 
@@ -162,33 +197,25 @@ def tokenized(documents: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         encoder, directions = UnitEncoder(path), signs(1 << 16)
-        for batch in batches:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            low = 0
-            while low < len(texts):
-                high, size = low, 0
-                while high < len(texts) and (size < 3 << 20 or high == low):
-                    size += len(texts[high])
-                    high += 1
-                ids = encoder.encode(texts[low:high])
-                key = curve_keys([np.frombuffer(x, "<u4") for x in ids], directions)
-                salt = batch["salt"].to_numpy()[low:high] & ((1 << 32) - 1)
-                yield pa.record_batch(
-                    {
-                        "doc_id": batch["doc_id"].slice(low, high - low),
-                        "curve": pa.array((key << 32) | salt, pa.int64()),
-                        "doc_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                        "ids": pa.array(ids, pa.binary()),
-                    }
-                )
-                low = high
+        for batch in (part for whole in batches for part in text_slices(whole, most=3 * MB)):
+            ids = encoder.encode([t or "" for t in batch["text"].to_pylist()])
+            key = curve_keys([np.frombuffer(x, "<u4") for x in ids], directions)
+            salt = batch["salt"].to_numpy() & ((1 << 32) - 1)
+            yield pa.record_batch(
+                {
+                    "doc_id": batch["doc_id"],
+                    "curve": pa.array((key << 32) | salt, pa.int64()),
+                    "doc_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
+                    "ids": pa.array(ids, pa.binary()),
+                }
+            )
 
     docs = documents.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.xxhash64("doc_id", F.col("text").cast("string")).alias("salt"),
         F.col("text").cast("string").alias("text"),
     )
-    return docs.mapInArrow(run, TOKENS)
+    return docs.mapInArrow(given_back(run), TOKENS)
 
 
 PIECES = (
