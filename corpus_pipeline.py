@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from semlayer.llm.components import written
 from semlayer.llm.decontamination import contamination
+from semlayer.llm.exchange import given_back, text_slices
 from semlayer.llm.kneser_ney import score_toxicity, train
 from semlayer.llm.ngram_jaccard import near_duplicates
 from semlayer.llm.packing import packed
@@ -29,10 +30,19 @@ def _key() -> Column:
     return F.xxhash64(F.col("doc_id").cast("string"), F.lit("/"), F.col("text").cast("string"))
 
 
+def _fresh(docs: DataFrame, name: str) -> str:
+    """A column name that the documents do not have."""
+    taken = {column.lower() for column in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def _only(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows whose key is among the doc_id of keys."""
-    keep = keys.select(F.col("doc_id").alias("kept")).distinct()
-    return docs.join(keep, _key() == F.col("kept"), "left_semi")
+    kept = _fresh(docs, "kept")
+    keep = keys.select(F.col("doc_id").alias(kept)).distinct()
+    return docs.join(keep, _key() == F.col(kept), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,18 +78,19 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Spans belong to a doc_id and its text, so rows without an id, or of one id, keep to their own.
     """
-    spans = row_spans(docs).where("spans <> ''").select(F.col("doc_id").alias("found"), F.col("row").alias("code"), "spans")
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("found")) & (F.xxhash64(F.col("text").cast("string")) == F.col("code"))
-    both = docs.join(spans.distinct(), same, "left").select(*docs.columns, "spans")
+    found, code, spans = (_fresh(docs, name) for name in ("found", "code", "spans"))
+    rows = row_spans(docs).where("spans <> ''").select(F.col("doc_id").alias(found), F.col("row").alias(code), F.col("spans").alias(spans))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(found)) & (F.xxhash64(F.col("text").cast("string")) == F.col(code))
+    both = docs.join(rows.distinct(), same, "left").select(*docs.columns, spans)
 
     def run(batches):
-        for batch in batches:
-            pairs = zip(batch["text"].to_pylist(), batch["spans"].to_pylist())
+        for batch in (part for whole in batches for part in text_slices(whole)):
+            pairs = zip(batch["text"].to_pylist(), batch[spans].to_pylist())
             texts = [t if t is None or not s else masked(t, s) for t, s in pairs]
-            columns = {c: batch[c] for c in batch.schema.names if c != "spans"} | {"text": pa.array(texts, pa.string())}
+            columns = {c: batch[c] for c in batch.schema.names if c != spans} | {"text": pa.array(texts, pa.string())}
             yield pa.record_batch(columns)
 
-    return both.mapInArrow(run, docs.schema).withColumn("n_chars", F.length("text").cast("bigint"))
+    return both.mapInArrow(given_back(run), docs.schema).withColumn("n_chars", F.length("text").cast("bigint"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
