@@ -471,11 +471,6 @@ def nest_topk_flat(m: Model) -> DataFrame:
     return rounded(m.orders.nest_rows(outer, "top_customers", rank="rank"), total_revenue=2)
 
 
-@registered
-def executive_dashboard(m: Model) -> DataFrame:
-    return m.orders.query(_dashboard())
-
-
 def _dashboard():
     return (
         view()

@@ -21,27 +21,34 @@ def shared_folder(spark: SparkSession) -> str:
 def transitive_closure(edges: DataFrame, source: str = "src", target: str = "dst") -> DataFrame:
     """All pairs (src, dst) joined by a path of one or more edges; cycles end by themselves.
 
-    Each round extends only the pairs the round before found, and writes those not seen yet.  The
-    written rounds are the result, so a lost executor costs its tasks and not the rounds so far.
+    Paths double: a round continues the pairs whose shortest path has exactly the length reached so
+    far by every known pair, and writes the pairs not seen yet.  So the rounds grow with the
+    logarithm of the longest shortest path, and end when no pair is as long as a round allows.
+    The written rounds are the result; a lost executor costs its tasks and not the rounds so far.
     """
     spark = edges.sparkSession
     folder = f"{shared_folder(spark)}/closure-{uuid.uuid4().hex}"
     steps = edges.select(F.col(source).alias("src"), F.col(target).alias("dst")).dropna().distinct()
+    steps = steps.withColumn("length", F.lit(1).cast("bigint"))
     schema = steps.schema
 
     def written(rounds: Iterable[str]) -> DataFrame:
         return spark.read.schema(schema).parquet(*rounds)
 
     rounds = [f"{folder}/round-0"]
-    new_pairs = write_files(steps, rounds[0])
-    hops = written(rounds).selectExpr("src AS dst", "dst AS next")
-    while new_pairs:
-        frontier = written(rounds[-1:])
-        reached = frontier.join(hops, "dst").selectExpr("src", "next AS dst").distinct()
-        unseen = reached.join(written(rounds), ["src", "dst"], "left_anti")
+    write_files(steps, rounds[0])
+    reach = 1
+    while True:
+        longest = written(rounds[-1:]).where(F.col("length") == reach)
+        if reach > 1 and longest.isEmpty():
+            return written(rounds).select("src", "dst")
+        known = written(rounds)
+        onward = known.selectExpr("src AS dst", "dst AS next", "length AS more")
+        reached = longest.join(onward, "dst").groupBy("src", F.col("next").alias("dst")).agg(F.min("more").alias("more"))
+        unseen = reached.join(known, ["src", "dst"], "left_anti")
         rounds.append(f"{folder}/round-{len(rounds)}")
-        new_pairs = write_files(unseen, rounds[-1])
-    return written(rounds)
+        write_files(unseen.select("src", "dst", (F.col("more") + reach).alias("length")), rounds[-1])
+        reach *= 2
 
 
 def source_edges(spark: SparkSession, sources: Iterable[Source]) -> DataFrame:

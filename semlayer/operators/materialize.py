@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from semlayer.sources.readers import WRITING
+from semlayer.sources.readers import FILE_ROWS, WRITING, may_hold_breaks
 
 PREVIEW_ROWS = 5
 MODES = ("table", "view")
@@ -106,9 +106,12 @@ def write_files(
 ) -> int:
     """Write a new folder and return its row count, counted by the writing job itself.
 
-    Text formats are written as `read_file` reads them.
+    Text formats are written as `read_file` reads them, those that one task must read from its start
+    in files of FILE_ROWS rows; pass ``maxRecordsPerFile`` for very long or very short rows.
     """
     spark_format, defaults = WRITING.get(file_format, (file_format, {}))
+    if spark_format == "csv" and may_hold_breaks(frame.schema):
+        defaults = {**defaults, "maxRecordsPerFile": str(FILE_ROWS)}
     observation = Observation()
     counted = frame.observe(observation, F.count(F.lit(1)).alias("rows"))
     counted.write.format(spark_format).options(**{**defaults, **options}).mode("errorifexists").save(path)

@@ -79,13 +79,13 @@ def grouped(source: Source, view: View, outer: Keys, filters: Sequence[Bound]) -
     if not nests:
         return aggregate(source, keys, filters, view.measures)
 
-    together = {n: nest for n, nest in nests.items() if nest.row_limit is None and not nest.nests}
-    base = one_pass(source, view, keys, filters, together) if together else None
+    flat = {name: nest for name, nest in nests.items() if nest.grouped and not nest.nests}
+    if len(flat) == 1 and not keys and not view.measures:  # a read to share with nothing
+        flat = {name: nest for name, nest in flat.items() if nest.row_limit is None}
+    base, together = one_pass(source, view, keys, filters, flat) if flat else (None, ())
     parts = [base] if base is not None else []
-    if base is None:
-        together = {}
-        if keys or view.measures:
-            parts.append(aggregate(source, keys, filters, view.measures))
+    if base is None and (keys or view.measures):
+        parts.append(aggregate(source, keys, filters, view.measures))
     for name, nest in nests.items():
         if name not in together:
             hidden = {f"__outer{i}": bound for i, bound in enumerate(keys.values())}
@@ -162,11 +162,12 @@ def sorted_array(array: Column, nest: View) -> Column:
 
 def one_pass(
     source: Source, view: View, keys: Keys, filters: Sequence[Bound], nests: Mapping[str, View]
-) -> DataFrame | None:
-    """Measures and unlimited nests from one read of the joined rows, as grouping sets.
+) -> tuple[DataFrame | None, Sequence[str]]:
+    """Measures and nests from one read of the joined rows, as grouping sets, and the nests it holds.
 
     Only where contributions are plain rows of the source, which add up at any grouping; returns
-    None elsewhere.
+    no frame elsewhere.  A limited nest is left out if its keys are also those of the view or of
+    another nest, whose rows a limit must not touch.
     """
     table = AtomTable(source)
     finals = {name: m.resolve(table, (), ()) for name, m in view.measures.items()}
@@ -178,23 +179,29 @@ def one_pass(
 
     base = [column_of(("outer", name), bound) for name, bound in keys.items()]
     shapes = {}
-    for name, nest in nests.items():
-        conditions = tuple(((), predicate) for predicate in nest.filters)
+    sets = {}
+    for name, nest in sorted(nests.items(), key=lambda item: item[1].row_limit is not None):
         inner = {k: column_of(e, bind(source, e)) for k, e in nest.keys.items()}
+        members = {*base, *inner.values()}
+        if nest.row_limit is not None and members in [set(base), *sets.values()]:
+            continue
+        sets[name] = members
+        conditions = tuple(((), predicate) for predicate in nest.filters)
         shapes[name] = (
             inner,
             {k: m.resolve(table, (), conditions) for k, m in nest.measures.items()},
             table.add((), None, conditions) if conditions else None,
         )
+    if not shapes:
+        return None, ()
     bounds = dict(columns.values())
     plan = GrainPlan(source, bounds, filters, table.atoms)
     if cross_join_of(plan) is not None or plan.fans_out():
-        return None
+        return None, ()
 
     def set_id(members: set[str]) -> int:
         return int("".join("0" if name in members else "1" for name in bounds) or "0", 2)
 
-    sets = {name: {*base, *inner.values()} for name, (inner, _, _) in shapes.items()}
     distinct_sets = {set_id(members): members for members in [set(base), *sets.values()]}
     if len(distinct_sets) == 1:
         rows = plan.aggregate().withColumn("__set", F.lit(set_id(set(base))))
@@ -204,16 +211,24 @@ def one_pass(
             *map(quoted, bounds),
         ).agg(*plan.totals(), F.grouping_id().alias("__set"))
     atoms = plan.atom_columns()
-    arrays = []
+    kept, values = {}, {}
     for name, (inner, inner_finals, exists) in shapes.items():
-        row = F.struct(
-            *(quoted(internal).alias(key) for key, internal in inner.items()),
-            *(final(atoms).alias(measure) for measure, final in inner_finals.items()),
-        )
-        kept = F.col("__set") == set_id(sets[name])
+        kept[name] = F.col("__set") == set_id(sets[name])
         if exists is not None:
-            kept = kept & (atoms[exists] > 0)
-        arrays.append(sorted_array(F.collect_list(F.when(kept, row)), nests[name]).alias(name))
+            kept[name] = kept[name] & (atoms[exists] > 0)
+        values[name] = {
+            **{key: quoted(internal) for key, internal in inner.items()},
+            **{measure: final(atoms) for measure, final in inner_finals.items()},
+        }
+    cuts = {set_id(sets[name]): (nests[name], kept[name], values[name]) for name in shapes if nests[name].row_limit is not None}
+    if cuts:
+        rows = first_of_sets(rows, base, [name for name in bounds if name not in base], cuts)
+    arrays = [
+        sorted_array(
+            F.collect_list(F.when(kept[name], F.struct(*(value.alias(n) for n, value in values[name].items())))), nests[name]
+        ).alias(name)
+        for name in shapes
+    ]
     own = F.col("__set") == set_id(set(base))
     merged = rows.groupBy(*map(quoted, dict.fromkeys(base))).agg(
         *(
@@ -222,11 +237,39 @@ def one_pass(
         ),
         *arrays,
     )
-    return merged.select(
+    frame = merged.select(
         *(quoted(internal).alias(name) for internal, name in zip(base, keys)),
         *(final(atoms).alias(name) for name, final in finals.items()),
-        *map(quoted, nests),
+        *map(quoted, shapes),
     )
+    return frame, tuple(shapes)
+
+
+def first_of_sets(
+    rows: DataFrame,
+    base: Sequence[str],
+    others: Sequence[str],
+    cuts: Mapping[int, tuple[View, Column, Mapping[str, Column]]],
+) -> DataFrame:
+    """Rows of grouping sets, those of limited nests cut to the first of each outer group.
+
+    Each row of another set is a window partition of its own, so one bound on the rank holds for
+    all sets and Spark cuts every task's rows by it before they are shuffled.
+    """
+    free = ~F.col("__set").isin(list(cuts))
+    alone = [F.when(free, quoted(name)) for name in others]
+    terms, own_limit, kept = [], F.lit(1), free
+    for number, (nest, condition, values) in cuts.items():
+        here = F.col("__set") == number
+        kept = kept | condition
+        own_limit = F.when(here, F.lit(nest.row_limit)).otherwise(own_limit)
+        for name, descending in nest.ordering():
+            value = F.when(here, values[name])
+            terms.append(value.desc_nulls_last() if descending else value.asc_nulls_last())
+    within = Window.partitionBy(*map(quoted, base), "__set", *alone).orderBy(*terms)
+    most = max(1, *(nest.row_limit for nest, _, _ in cuts.values()))
+    ranked = rows.filter(kept).withColumn("__rank", F.row_number().over(within))
+    return ranked.filter((F.col("__rank") <= most) & (F.col("__rank") <= own_limit)).drop("__rank")
 
 
 def flat_nest(source: Source, view: View, nest: str, rank: str | None) -> DataFrame:

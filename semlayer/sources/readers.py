@@ -5,6 +5,7 @@ from __future__ import annotations
 from pathlib import PurePosixPath
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from semlayer.sources.source import Source
@@ -26,9 +27,19 @@ WRITING = {
     "tsv": ("csv", {**DELIMITED, "sep": "\t"}),
     "json": ("json", {"ignoreNullFields": "false"}),
 }
-#: A header that differs from the schema and a value of another type raise.  Quoted line breaks mean that
-#: one file is read by one task: pass multiLine="false" for large files without them.
-STRICT = {"enforceSchema": "false", "multiLine": "true", "mode": "FAILFAST"}
+#: A header that differs from the schema and a value of another type raise.
+STRICT = {"enforceSchema": "false", "mode": "FAILFAST"}
+#: Types whose values may hold a line break.  One file with such a column is read by one task, as
+#: only a reader from its start knows which breaks are quoted.  So `write_files` ends a file after
+#: FILE_ROWS rows; files without such a column are cut anywhere.
+BREAKING = (T.StringType, T.CharType, T.VarcharType, T.BinaryType, T.VariantType)
+FILE_ROWS = 100_000
+
+
+def may_hold_breaks(schema: StructType | str) -> bool:
+    """Whether a quoted line break can stand in a delimited file of this schema."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return any(isinstance(field.dataType, BREAKING) for field in schema.fields)
 
 
 def read_file(
@@ -48,7 +59,7 @@ def read_file(
         raise ValueError(f"'{path}' carries no types; pass a schema")
     spark_format, defaults = WRITING.get(kind, (kind, {}))
     if kind in ("csv", "tsv"):
-        defaults = {**defaults, **STRICT}
+        defaults = {**defaults, **STRICT, "multiLine": str(may_hold_breaks(schema)).lower()}
     elif kind == "json":
         defaults = {"mode": "FAILFAST"}
     reader = spark.read.format(spark_format).options(**{**defaults, **options})

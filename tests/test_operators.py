@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from semlayer.operators.checks import is_check
@@ -35,6 +37,26 @@ def test_file_formats(spark, tmp_path, extension, options):
     assert sorted(map(tuple, source.query(view().select("*")).collect()), key=repr) == sorted(rows, key=repr)
 
 
+def test_delimited_files_are_read_by_many_tasks(spark, tmp_path):
+    """Files without text columns are cut anywhere; those with some end after a number of rows."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    spark.conf.set("spark.sql.files.openCostInBytes", "65536")
+    try:
+        for name, columns, options in (
+            ("numbers.csv", "id, id * 1.5D AS x, id % 2 = 0 AS even", {}),
+            ("texts.csv", "id, concat('a\\n', repeat('b', 60)) AS x", {"maxRecordsPerFile": "2000"}),
+        ):
+            frame = spark.range(0, 20_000, 1, 1).selectExpr(*columns.split(", ") if "concat" not in columns else ["id", columns[4:]])
+            path = str(tmp_path / name)
+            assert write_files(frame, path, "csv", **options) == 20_000
+            found = read_file(spark, path, frame.schema)
+            assert found.rdd.getNumPartitions() > 4
+            assert found.exceptAll(frame).isEmpty() and found.count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_text_formats_need_a_schema(spark):
     with pytest.raises(ValueError):
         read_file(spark, "x.csv")
@@ -73,6 +95,27 @@ def test_closure_of_a_long_chain(spark):
     assert transitive_closure(edges).count() == 13 * 12 // 2
 
 
+def test_closure_rounds_double(spark, monkeypatch):
+    from semlayer.operators import closure
+
+    written = []
+    monkeypatch.setattr(closure, "write_files", lambda frame, path: written.append(path) or write_files(frame, path))
+    edges = spark.range(40).selectExpr("id AS src", "id + 1 AS dst")
+    assert transitive_closure(edges).count() == 41 * 40 // 2
+    assert len(written) == 7  # paths of up to 1, 2, 4 .. 64 edges
+
+
+def test_closure_of_random_graphs(spark):
+    rng = random.Random(5)
+    for size in (5, 9, 14):
+        graph = {(rng.randrange(size), rng.randrange(size)) for _ in range(size + 3)}
+        reach = set(graph)
+        while more := {(a, d) for a, b in reach for c, d in graph if b == c} - reach:
+            reach |= more
+        found = transitive_closure(spark.createDataFrame(sorted(graph), "src int, dst int"))
+        assert pairs(found) == sorted(reach)
+
+
 def test_closure_survives_a_hot_node(spark):
     """Every node points at one hub, which points at a few more."""
     edges = spark.range(2000).selectExpr("id AS src", "-1L AS dst").union(

@@ -341,3 +341,24 @@ def test_root_and_one_side_measures_share_a_read(filed):
     found, plan = run_and_plan(lines.query(by_kind))
     assert plan.count("FileScan") == 2 and sum(row.lines for row in found) == 120_000
     assert sum(row.orders for row in found) == len(set().union(*orders_of.values()))
+
+
+def test_limited_and_whole_nests_share_a_read(filed):
+    """Limited nests are ranked among the grouping sets, cut in each task before the shuffle."""
+    orders, _ = filed
+    top = view().group_by("id").aggregate("total").limit(2)
+    dear = view().where(lambda o: o.price > 209).group_by("price").aggregate("orders").order_by("price").limit(3)
+    outer = view().group_by("kind").aggregate("orders")
+    found, plan = run_and_plan(orders.query(outer.nest(top=top, dear=dear, prices=view().group_by("price").aggregate("orders"))))
+    assert plan.count("FileScan") == 2  # `dear` has the keys of `prices`, so it has a read of its own
+    assert "WindowGroupLimit" in plan
+    rows = [(i, i % 211, i % 10) for i in range(40_000)]
+    for row in found:
+        own = [(i, price) for i, price, kind in rows if kind == row.kind]
+        best = sorted(own, key=lambda r: (-r[1], r[0]))[:2]
+        assert [tuple(r) for r in row.top] == best and row.orders == len(own)
+        assert sum(r.orders for r in row.prices) == len(own) and len(row.prices) == 211
+        assert [tuple(r) for r in row.dear] == [(210, sum(price == 210 for _, price in own))]
+    found, plan = run_and_plan(orders.query(view().aggregate("total").nest(top=top, none=top.limit(0).group_by("kind"))))
+    assert plan.count("FileScan") == 1
+    assert len(found) == 1 and len(found[0].top) == 2 and found[0].none == [] and found[0].total == sum(r[1] for r in rows)

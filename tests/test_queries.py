@@ -8,7 +8,6 @@ from catalogue.oracle import ORACLE
 from catalogue.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS_ONLY = {"executive_dashboard"}
 
 
 @pytest.fixture(scope="module")
@@ -16,8 +15,8 @@ def connection():
     return oracle_connection(FOLDER)
 
 
-def test_every_query_but_the_nested_one_has_an_oracle():
-    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(entry_point.queries())
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
 
@@ -25,10 +24,7 @@ def test_every_query_but_the_nested_one_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     frame = entry_point.queries()[name](spark, FOLDER)
-    if name in ROWS_ONLY:
-        assert frame.count() == 1
-    else:
-        assert compare(frame, connection, entry_point.oracle_sql()[name]) is None
+    assert compare(frame, connection, entry_point.oracle_sql()[name]) is None
 
 
 def test_entry(spark):
