@@ -29,10 +29,27 @@ from .components import written
 WINDOW = 10
 SHINGLE = 3
 MOST_BYTES = 16 << 20
+#: Windows whose shingles are looked at together.
+PART = 1 << 16
+
+
+class Windows(NamedTuple):
+    """The windows of some items, all of `size` words: their first words among `found`, and items."""
+
+    size: int
+    start: np.ndarray
+    item: np.ndarray
+
+    @property
+    def shingle(self) -> int:
+        return min(SHINGLE, self.size)
 
 
 class Index(NamedTuple):
-    """Windows of some items; those with the prefix key[i] are order[first[i]:first[i + 1]]."""
+    """Distinct windows; those with the prefix key[i] are order[first[i]:first[i + 1]].
+
+    `items` holds for each window the ids of the items that have it, sorted as strings.
+    """
 
     key: np.ndarray
     first: np.ndarray
@@ -40,25 +57,32 @@ class Index(NamedTuple):
     offset: np.ndarray
     length: np.ndarray
     code: np.ndarray
-    item: np.ndarray
+    items: np.ndarray
+
+
+def item_words(texts: list[str | None]) -> W.Words:
+    return W.words_of(W.texts_of(pa.array(texts, pa.string()), lower=True), W.NOT_ALNUM_TABLE)
 
 
-def item_windows(texts: list[str | None], length: int) -> list[tuple[int, int, np.ndarray]]:
-    """(item, words of the window, codes of these words) of every window of every item."""
-    found = W.words_of(W.texts_of(pa.array(texts, pa.string()), lower=True), W.NOT_ALNUM_TABLE)
-    windows = []
-    for item, (low, high) in enumerate(zip(found.first[:-1], found.first[1:])):
-        size = min(length, int(high - low))
-        windows += [(item, size, found.code[k : k + size]) for k in range(low, high - size + 1) if size]
-    return windows
+def item_windows(found: W.Words, length: int) -> list[Windows]:
+    """Every window of every item, by number of words."""
+    count = np.diff(found.first)
+    groups = []
+    for size in np.unique(np.minimum(count[count > 0], length)).tolist():
+        of_size = np.repeat(np.minimum(count, length) == size, count)
+        start = np.flatnonzero(W.whole_starts(found.first, size, len(found.code)) & of_size[: len(found.code) - size + 1])
+        groups.append(Windows(size, start, np.searchsorted(found.first, start, "right") - 1))
+    return groups
 
 
-def shingle_codes(codes: np.ndarray) -> np.ndarray:
-    return W.sequence_codes(codes, min(SHINGLE, len(codes)))
+def shingles_at(found: W.Words, group: Windows, chosen: slice) -> np.ndarray:
+    """A row of shingle codes for each of the chosen windows."""
+    within = np.arange(group.size - group.shingle + 1)
+    return W.sequence_codes(found.code, group.shingle)[group.start[chosen, None] + within]
 
 
-def shingle_lengths(windows) -> list[int]:
-    return sorted({min(SHINGLE, size) for _, size, _ in windows})
+def parts_of(group: Windows) -> list[slice]:
+    return [slice(low, low + PART) for low in range(0, len(group.start), PART)]
 
 
 def in_sorted(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
@@ -73,7 +97,7 @@ def in_sorted(keys: np.ndarray, codes: np.ndarray) -> np.ndarray:
     return near[keys[at] == codes[near]]
 
 
-def occurrences(documents: DataFrame, keys: np.ndarray, lengths: list[int]) -> dict[int, int]:
+def occurrences(documents: DataFrame, keys: np.ndarray, lengths: list[int]) -> np.ndarray:
     """How often each of these shingles occurs in all documents, summed in each task first."""
     shared = documents.sparkSession.sparkContext.broadcast((keys, lengths))
 
@@ -91,35 +115,49 @@ def occurrences(documents: DataFrame, keys: np.ndarray, lengths: list[int]) -> d
         yield pa.record_batch({"key": pa.array(W.long_id(wanted[some])), "n": pa.array(total[some])})
 
     counted = documents.select("text").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    return {row["key"] % (1 << 64): row["n"] for row in counted.collect()}
-
-
-def built(windows, items: list[str], frequency: dict[int, int]) -> Index:
-    key, offset, length, code, item = [], [], [], [], []
-    for which, size, codes in windows:
-        shingles = shingle_codes(codes)
-        k = min(range(len(shingles)), key=lambda i: (frequency.get(int(shingles[i]), 0), int(shingles[i])))
-        key.append(shingles[k])
-        offset.append(k)
-        length.append(size)
-        code.append(W.whole_code(codes))
-        item.append(items[which])
-    key = np.array(key, np.uint64)
+    total = np.zeros(len(keys), np.int64)
+    rows = counted.toArrow()
+    total[np.searchsorted(keys, rows["key"].to_numpy().view(np.uint64))] = rows["n"].to_numpy()
+    return total
+
+
+def built(found: W.Words, groups: list[Windows], items: list[str], keys: np.ndarray, frequency: np.ndarray) -> Index:
+    """The distinct windows under their rarest shingle, by its number of occurrences and then its code."""
+    key, offset, length, code, owners = [], [], [], [], []
+    for group in groups:
+        codes = W.sequence_codes(found.code, group.size)[group.start]
+        order = np.argsort(codes, kind="stable")
+        _, first = np.unique(codes[order], return_index=True)
+        for own in np.split(group.item[order], first[1:]):
+            owners.append(sorted({items[i] for i in own.tolist()}))
+        distinct = group._replace(start=group.start[order[first]])
+        for part in parts_of(distinct):
+            shingles = shingles_at(found, distinct, part)
+            rows = np.arange(len(shingles))
+            count = frequency[np.searchsorted(keys, shingles)]
+            rarest = np.where(count == count.min(axis=1, keepdims=True), shingles, np.uint64(0xFFFFFFFFFFFFFFFF)).argmin(axis=1)
+            key.append(shingles[rows, rarest])
+            offset.append(rarest)
+        length.append(np.full(len(first), group.size))
+        code.append(codes[order[first]])
+    key = np.concatenate([np.zeros(0, np.uint64), *key])
     order = np.argsort(key, kind="stable")
     distinct, first = np.unique(key[order], return_index=True)
+    lists = np.empty(len(owners), object)
+    lists[:] = owners
     return Index(
         distinct,
         np.append(first, len(key)),
         order,
-        np.array(offset, np.int64),
-        np.array(length, np.int64),
-        np.array(code, np.uint64),
-        np.array(item, object),
+        np.concatenate([np.zeros(0, np.int64), *offset]),
+        np.concatenate([np.zeros(0, np.int64), *length]),
+        np.concatenate([np.zeros(0, np.uint64), *code]),
+        lists,
     )
 
 
 def verified_windows(index: Index, found: W.Words, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(start, window) of every occurrence of a window in the texts."""
+    """(start, window) of every occurrence of a window in the texts, in order of the starts."""
     start, window, end_of = [], [], np.repeat(found.first[1:], np.diff(found.first))
     begin_of = np.repeat(found.first[:-1], np.diff(found.first))
     for size in lengths:
@@ -139,9 +177,17 @@ def verified_windows(index: Index, found: W.Words, lengths: list[int]) -> tuple[
     right = np.zeros(len(s), dtype=bool)
     for size in np.unique(index.length[w]):
         mine = np.flatnonzero(index.length[w] == size)
-        for k in mine:
-            right[k] = W.whole_code(found.code[s[k] : s[k] + size]) == index.code[w[k]]
-    return s[right], w[right]
+        right[mine] = W.sequence_codes(found.code, int(size))[s[mine]] == index.code[w[mine]]
+    s, w = s[right], w[right]
+    order = np.argsort(s, kind="stable")
+    return s[order], w[order]
+
+
+def joined_spans(start: np.ndarray, end: np.ndarray) -> tuple[list[int], list[int]]:
+    """Spans in order of their starts, those that overlap or touch as one."""
+    reach = np.maximum.accumulate(end)
+    new = np.flatnonzero(start[1:] > reach[:-1]) + 1
+    return start[np.concatenate(([0], new))].tolist(), reach[np.append(new - 1, len(end) - 1)].tolist()
 
 
 HITS = "doc_id bigint, text string, starts array<bigint>, ends array<bigint>, items array<string>"
@@ -157,12 +203,17 @@ def marked(documents: DataFrame, index: Index, lengths: list[int]) -> DataFrame:
         for batch in (part for whole in batches for part in X.text_slices(whole)):
             found = W.words_of(W.texts_of(batch["text"], lower=True), W.NOT_ALNUM_TABLE)
             s, w = verified_windows(own, found, sizes)
-            rows = batch.to_pydict()
+            rows = {name: batch[name].to_pylist() for name in ("starts", "ends", "items")}
             text = np.searchsorted(found.first, s, "right") - 1
-            for row, a, which in zip(text.tolist(), s.tolist(), w.tolist()):
-                low = int(found.first[row])
-                for name, value in (("starts", a - low), ("ends", a - low + int(own.length[which])), ("items", own.item[which])):
-                    rows[name][row] = [*rows[name][row], value]
+            hit, low = np.unique(text, return_index=True)
+            for row, a, b in zip(hit.tolist(), low.tolist(), np.append(low[1:], len(text)).tolist()):
+                start = s[a:b] - found.first[row]
+                starts, ends = joined_spans(start, start + own.length[w[a:b]])
+                rows["starts"][row] = rows["starts"][row] + starts
+                rows["ends"][row] = rows["ends"][row] + ends
+                items = set(rows["items"][row])
+                items.update(*own.items[np.unique(w[a:b])])
+                rows["items"][row] = sorted(items)
             longs = pa.list_(pa.int64())
             yield pa.record_batch(
                 {
@@ -170,7 +221,7 @@ def marked(documents: DataFrame, index: Index, lengths: list[int]) -> DataFrame:
                     "text": batch["text"],
                     "starts": pa.array(rows["starts"], longs),
                     "ends": pa.array(rows["ends"], longs),
-                    "items": pa.array([sorted(set(x)) for x in rows["items"]], pa.list_(pa.string())),
+                    "items": pa.array(rows["items"], pa.list_(pa.string())),
                 }
             )
 
@@ -218,20 +269,23 @@ def contamination(
     n_words, n_hit (words inside any occurrence of a window), n_items and `items` (ids of the items with
     an occurring window, sorted as strings), items_sha256 of these joined by commas,
     contaminated, and `spans`, the hit word positions, end exclusive.  A null or empty text has no words and
-    an item without words has no window.  Items without an id are left out.
+    an item without words has no window.  Items without an id are left out; repeated ones count once.
     """
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     empty = (F.array().cast(f"array<{t}>").alias(c) for c, t in (("starts", "bigint"), ("ends", "bigint"), ("items", "string")))
     rows = docs.select("doc_id", "text", *empty)
     items = benchmark.where("item_id is not null").select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text")
-    )
+    ).distinct()
     blocks = max(1, -(-X.text_bytes(items) // most_bytes))
     for block in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
-        windows = item_windows([row["text"] for row in part], length)
-        lengths = shingle_lengths(windows)
-        keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *(shingle_codes(codes) for *_, codes in windows)]))
-        index = built(windows, [row["item_id"] for row in part], occurrences(docs, keys, lengths) if windows else {})
+        found = item_words([row["text"] for row in part])
+        groups = item_windows(found, length)
+        lengths = sorted({group.shingle for group in groups})
+        pieces = [np.unique(shingles_at(found, group, chosen)) for group in groups for chosen in parts_of(group)]
+        keys = np.unique(np.concatenate([np.zeros(0, np.uint64), *pieces]))
+        frequency = occurrences(docs, keys, lengths) if len(keys) else np.zeros(0, np.int64)
+        index = built(found, groups, [row["item_id"] for row in part], keys, frequency)
         rows = marked(rows if block == 0 else written(rows, "decontamination"), index, lengths)
     return summed_up(rows)

@@ -174,6 +174,33 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least AS component_id
         FROM documents LEFT JOIN sizes USING (doc_id)
         JOIN (SELECT a AS doc_id, min(b) AS least FROM reached GROUP BY a) USING (doc_id)""",
+    "op8_decontamination": r"""
+        WITH texts AS (
+            SELECT 'document' AS kind, doc_id::VARCHAR AS id, text FROM documents
+            UNION ALL SELECT 'item', item_id::VARCHAR, text FROM benchmark
+        ), words AS (
+            SELECT kind, id, [x FOR x IN regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w
+            FROM texts
+        ), windows AS (
+            SELECT DISTINCT id AS item_id, least(len(w), 10) AS n, array_to_string(w[k:k + least(len(w), 10) - 1], ' ') AS seq
+            FROM (SELECT *, unnest(range(1, greatest(len(w) - 8, 2))) AS k FROM words WHERE kind = 'item' AND len(w) > 0)
+        ), places AS (
+            SELECT id, k, n, array_to_string(w[k:k + n - 1], ' ') AS seq
+            FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS k
+                  FROM words, (SELECT DISTINCT n FROM windows) WHERE kind = 'document' AND len(w) >= n)
+        ), hits AS (
+            SELECT id, k, n, item_id FROM places JOIN windows USING (n, seq)
+        ), found AS (
+            SELECT id, len(list_distinct(flatten(list(range(k, k + n))))) AS n_hit, count(DISTINCT item_id) AS n_items,
+                   array_to_string(list_sort(list(DISTINCT item_id)), ',') AS items
+            FROM hits GROUP BY id
+        )
+        SELECT id::BIGINT AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+               coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM words LEFT JOIN found USING (id) WHERE kind = 'document'""",
     "op11_spelling_variants": r"""
         WITH RECURSIVE crc_table AS (
             SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)

@@ -82,3 +82,41 @@ def test_a_training_sample_is_bounded_and_by_text(spark, tmp_path):
     rows = labelled(spark, docs, str(tmp_path)).distinct().collect()
     assert {row.text for row in rows} == {f"text {i}" for i in range(50)}
     assert {row.text for row in rows if row.toxic} == {"text 7"}
+
+
+def test_decontamination_of_equal_words_short_and_repeated_items(spark):
+    """Windows that many items share count once; every occurrence in a long text of one word is verified."""
+    dice = np.random.default_rng(7)
+    texts = ["a " * 20_000, None, "", "B c", *(" ".join(dice.choice(list("abc"), dice.integers(0, 40))) for _ in range(60))]
+    items = ["a " * 200, "a " * 190, "b c", "c", None, "", *(" ".join(dice.choice(list("abc"), dice.integers(1, 14))) for _ in range(25))]
+    items.append(items[0])
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i % 30, t) for i, t in enumerate(items)], "item_id bigint, text string")
+    windows = {}
+    for i, text in enumerate(items):
+        own = (text or "").lower().split()
+        size = min(10, len(own))
+        for k in range(len(own) - size + 1 if size else 0):
+            windows.setdefault(tuple(own[k : k + size]), set()).add(str(i % 30))
+    for most_bytes in (1 << 24, 900):
+        found = {row.doc_id: row for row in decontamination.contamination(docs, bench, most_bytes=most_bytes).collect()}
+        for doc_id, text in enumerate(texts):
+            own, hit, which = (text or "").lower().split(), set(), set()
+            for size in {len(w) for w in windows}:
+                for k in range(len(own) - size + 1):
+                    if (w := tuple(own[k : k + size])) in windows:
+                        hit.update(range(k, k + size))
+                        which |= windows[w]
+            row = found[doc_id]
+            assert (row.n_words, row.n_hit, row.items) == (len(own), len(hit), sorted(which))
+            assert sum(s.end - s.start for s in row.spans) == len(hit)
+
+
+def test_verification_takes_a_window_once(spark):
+    found = decontamination.item_words(["a " * 200])
+    groups = decontamination.item_windows(found, 10)
+    keys = np.unique(decontamination.shingles_at(found, groups[0], slice(None)))
+    index = decontamination.built(found, groups, ["one"], keys, np.ones(len(keys), np.int64))
+    text = W.words_of(W.texts_of(pa.array(["a " * 4000]), lower=True), W.NOT_ALNUM_TABLE)
+    start, window = decontamination.verified_windows(index, text, [3])
+    assert len(index.code) == 1 and start.tolist() == list(range(3991)) and not window.any()
