@@ -10,23 +10,27 @@ Documents with equal sets form one class, of which one member takes part.  Then,
 
 1. document frequencies of all shingles, counted in packed blocks (see `exchange`);
 2. prefixes and m of each class; shingles of one class only have no partner and are left out;
-3. in each prefix list every class is verified against two pivots.  Components of these links
-   leave few lists with more than one component, and no list of one needs any more pairs;
-4. the other lists join classes of different components, each list without pairs inside its
-   largest one.  Lengths, parity bits, positions and shared prefix shingles are tested within
+3. in each prefix list every class is verified against two pivots, the smallest class and the one
+   whose shingles are the most common.  No list whose classes are of one component by now needs
+   any more pairs;
+4. of the other lists, long ones lose the entries whose links the pivots decide (see `unsettled`):
+   documents of one common passage or template, however many they are;
+5. what is left of the lists joins classes of different components, each list without pairs inside
+   its largest one.  Lengths, parity bits, positions and shared prefix shingles are tested within
    the join, so a pair comes out once, not once for each shared shingle; long lists carry whole
    sets and verify there;
-5. verified links of both kinds give the final components.
+6. verified links of both kinds give the final components.
 
 The result is complete for components: a pair that is never verified lies in one component.
-Lists whose classes stay in many components cost the product of their sizes (see the README).
+Lists that keep many classes of many components, which share common shingles beyond both pivots,
+cost the product of their sizes (see the README).
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
@@ -43,6 +47,8 @@ HEAD = 64
 #: Lists of this size verify within the join, for sets of up to so many shared shingles.
 HEAVY = 64
 MOST_CARRIED = 512
+#: The pivots of a list: its smallest class, and the class whose shingles are the most common.
+PIVOTS = ("low", "high")
 #: 64-bit numbers of a set's parity bits.
 SKETCH = 16
 
@@ -113,9 +119,10 @@ def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """A row for each class whose prefix has a shingle of another class.
 
-    class, n, level (its m), tokens (shared shingles of its prefix, rarest first), place (their
-    positions among all shingles), reach (how many tokens the prefix of each m has), shared
-    (all its shingles that another class has) and parity (see `parity_bits`).
+    class, n, level (its m), weight (mean frequency of its shingles), tokens (shared shingles of its
+    prefix, rarest first), place (their positions among all shingles), reach (how many tokens the
+    prefix of each m has), shared (all its shingles that another class has, in the same order, so
+    that it begins with tokens) and parity (see `parity_bits`).
     """
     spark = docs.sparkSession
     total = X.text_bytes(docs)
@@ -150,7 +157,7 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         sets = classes(table)
         keys = np.unique(np.concatenate(list(sets.values())))
-        frequency = X.answered(answers, len(keys), np.uint32)
+        frequency = X.answered(answers, len(keys), np.uint64)
         rows = []
         for code, codes in sets.items():
             own = frequency[np.searchsorted(keys, codes)]
@@ -168,24 +175,25 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                         "tokens": W.long_id(codes[order[place]]).tolist(),
                         "place": place.tolist(),
                         "reach": np.searchsorted(place, lengths[:level]).tolist(),
-                        "shared": W.long_id(codes[own > 1]).tolist(),
+                        "shared": W.long_id(codes[order[own[order] > 1]]).tolist(),
+                        "weight": float(own.sum(dtype=np.int64)) / len(codes),
                         "parity": parity_bits(codes),
                     }
                 )
         longs = pa.list_(pa.int64())
-        kinds = [("class", pa.int64()), ("n", pa.int64()), ("level", pa.int64())]
+        kinds = [("class", pa.int64()), ("n", pa.int64()), ("level", pa.int64()), ("weight", pa.float64())]
         kinds += [(name, longs) for name in ("tokens", "place", "reach", "shared", "parity")]
         return pa.Table.from_pylist(rows, pa.schema(kinds))
 
     dealt = docs.select("text").mapInArrow(first_of_class, "batch bigint, class bigint, text string")
     blocks = X.blocks_of(dealt, extract, buckets, np.uint32)
-    answers = X.answers_of(blocks, lambda total: total, np.uint32, np.uint32)
+    answers = X.answers_of(blocks, lambda total: total, np.uint32, np.uint64)
     return (
         dealt.groupBy("batch")
         .cogroup(answers.groupBy("batch"))
         .applyInArrow(
             finish,
-            "class bigint, n bigint, level bigint, tokens array<bigint>, place array<bigint>, reach array<bigint>, "
+            "class bigint, n bigint, level bigint, weight double, tokens array<bigint>, place array<bigint>, reach array<bigint>, "
             "shared array<bigint>, parity array<bigint>",
         )
     )
@@ -212,43 +220,111 @@ def lists_of(sets: DataFrame, *more: str) -> DataFrame:
     )
 
 
-def pivot_pairs(sets: DataFrame, percent: int) -> DataFrame:
-    """Each class with the least and the greatest class of each of its lists, if their sizes allow a link."""
-    entries = lists_of(sets)
-    own = F.struct("class", "n")
-    pivots = entries.groupBy("token").agg(F.min(own).alias("low"), F.max(own).alias("high")).where("low.class <> high.class")
-    return (
-        entries.join(pivots, "token")
-        .select("class", "n", F.explode(F.array("low", "high")).alias("p"))
+def pivots_of(name: str) -> Column:
+    """A list's pivot of that name: its smallest class, or the one whose shingles are the most common."""
+    return F.min(F.struct("n", "class")) if name == "low" else F.max(F.struct("weight", "n", "class"))
+
+
+def pivot_overlaps(sets: DataFrame, percent: int) -> DataFrame:
+    """What each class has in common with the two pivots of each of its lists.
+
+    class, pivot, n, pivot_n, overlap, and last: the index of the class's most common shared shingle
+    that the pivot lacks (0 for none).  In short lists only pivots of a size that allows a link count.
+    """
+    entries = lists_of(sets, "weight")
+    pivots = entries.groupBy("token").agg(*(pivots_of(p).alias(p) for p in PIVOTS), F.count("*").alias("total"))
+    ends = F.explode(F.array(*(F.struct(f"{p}.n", f"{p}.class") for p in PIVOTS))).alias("p")
+    pairs = (
+        entries.join(pivots.where("total > 1"), "token")
+        .select("class", "n", "total", ends)
         .where("class <> p.class")
-        .where(100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n"))
-        .select(F.least("class", "p.class").alias("a"), F.greatest("class", "p.class").alias("b"))
+        .where((F.col("total") >= HEAVY) | (100 * F.least("n", "p.n") >= percent * F.greatest("n", "p.n")))
+        .select("class", F.col("p.class").alias("pivot"))
         .distinct()
     )
+    own = sets.select("class", "n", "shared")
+    other = sets.select(F.col("class").alias("pivot"), F.col("n").alias("pivot_n"), F.col("shared").alias("pivot_shared"))
+    both = pairs.join(own, "class").join(other, "pivot").withColumn("rest", F.array_except("shared", "pivot_shared"))
+    last = F.when(F.size("rest") > 0, F.array_position("shared", F.element_at("rest", -1))).otherwise(0)
+    return both.select(
+        "class", "pivot", "n", "pivot_n", (F.size("shared") - F.size("rest")).alias("overlap"), last.alias("last")
+    )
 
 
-def crossing_pairs(sets: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Candidates between classes of different components that share a prefix list."""
-    head = F.slice("tokens", 1, HEAD).alias("head")
-    known = (
-        sets.join(stars.withColumnRenamed("node", "class"), "class", "left")
-        .withColumn("root", F.coalesce("root", "class"))
-        .select("class", "n", "level", "root", "reach", "parity", head, "tokens", "place")
+def pivot_links(overlaps: DataFrame, percent: int) -> DataFrame:
+    """The links (a, b) among the pairs of classes and pivots."""
+    return (
+        overlaps.where((100 + percent) * F.col("overlap") >= percent * (F.col("n") + F.col("pivot_n")))
+        .select(F.least("class", "pivot").alias("a"), F.greatest("class", "pivot").alias("b"))
+        .distinct()
     )
-    entries = lists_of(known, "level", "root", "reach", "parity", "head")
-    largest = (
+
+
+def unsettled(entries: DataFrame, overlaps: DataFrame, percent: int) -> DataFrame:
+    """The entries of long lists that may have a link which the pivots have not found.
+
+    If all that A shares from a list's token on lies within the pivot c, then so does what it has in
+    common with any B of which this token is the rarest common one: |A & B| is at most |A & c| and at
+    most |B & c|.  So A and B link only if both overlaps allow their two sizes.  Such an A is settled
+
+    - if its overlap with c allows no size that the list has; or
+    - if it links to c and is no smaller: a B that it links to then links to c as well.
+
+    Adds overlap_<pivot> and last_<pivot>, by which pairs are tested again within the join.
+    """
+    for p in PIVOTS:
+        own = overlaps.select(
+            F.col("class").alias("of"), F.col("pivot").alias("to"), F.col("overlap").alias(f"overlap_{p}"), F.col("last").alias(f"last_{p}")
+        )
+        itself = F.col("class") == F.col(f"{p}.class")
+        entries = (
+            entries.join(own, (F.col("class") == F.col("of")) & (F.col(f"{p}.class") == F.col("to")), "left")
+            .drop("of", "to")
+            .withColumn(f"overlap_{p}", F.when(itself, F.col("n")).otherwise(F.coalesce(f"overlap_{p}", "n")))
+            .withColumn(f"last_{p}", F.when(itself, 0).otherwise(F.coalesce(f"last_{p}", "at")))
+        )
+        allowed = (100 + percent) * F.col(f"overlap_{p}")
+        none = allowed < percent * (F.col("n") + F.col("low.n"))
+        through = (F.col("n") >= F.col(f"{p}.n")) & (allowed >= percent * (F.col("n") + F.col(f"{p}.n")))
+        entries = entries.where(~((F.col("at") > F.col(f"last_{p}")) & (none | through)))
+    return entries
+
+
+def open_lists_of(entries: DataFrame, *pivots: Column) -> DataFrame:
+    """token, main (the component of most entries) and total of each list of several components."""
+    return (
         entries.groupBy("token", "root")
-        .agg(F.count("*").alias("size"))
+        .agg(F.count("*").alias("size"), *pivots)
         .groupBy("token")
-        .agg(F.max(F.struct("size", "root")).alias("most"), F.count("*").alias("roots"), F.sum("size").alias("total"))
+        .agg(
+            F.max(F.struct("size", "root")).alias("most"),
+            F.count("*").alias("roots"),
+            F.sum("size").alias("total"),
+            *((F.min if p == "low" else F.max)(p).alias(p) for p in PIVOTS[: len(pivots)]),
+        )
         .where("roots > 1")
-        .select("token", F.col("most.root").alias("main"), "total")
+        .select("token", F.col("most.root").alias("main"), "total", *PIVOTS[: len(pivots)])
     )
-    open_lists = written(entries.join(largest, "token"), "near-open")
-    small = open_lists.where(F.col("total") < HEAVY).withColumn("shared", F.lit(None).cast("array<bigint>"))
+
+
+def crossing_pairs(sets: DataFrame, overlaps: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
+    """Candidates between classes of different components that share a prefix list."""
+    rooted = sets.join(stars.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    entries = lists_of(rooted, "weight", "root")
+    lists = written(open_lists_of(entries, *(pivots_of(p).alias(p) for p in PIVOTS)), "near-lists")
+    slim = entries.join(lists, "token")
+    left = unsettled(slim.where(F.col("total") >= HEAVY), overlaps, percent).drop("main", "total", *PIVOTS)
+    left = written(left, "near-unsettled")
+    left = left.join(open_lists_of(left), "token")
+    bounds = [c for p in PIVOTS for c in (f"overlap_{p}", f"last_{p}")]
+    few = slim.where(F.col("total") < HEAVY)
+    few = few.withColumns({c: F.col("n" if c.startswith("overlap") else "at") for c in bounds})
+    names = ["token", "class", "n", "at", "place", "root", "main", "total", *bounds]
+    more = sets.select("class", "level", "reach", "parity", F.slice("tokens", 1, HEAD).alias("head"))
+    small = few.select(*names).join(more, "class").withColumn("shared", F.lit(None).cast("array<bigint>"))
     whole = sets.select("class", F.when(F.size("shared") <= MOST_CARRIED, F.col("shared")).alias("shared"))
-    heavy = open_lists.where(F.col("total") >= HEAVY).join(whole, "class")
-    pairs = [crossing_within(lists, percent) for lists in (small, heavy.select(*small.columns))]
+    heavy = left.select(*names).join(more, "class").join(whole, "class")
+    pairs = [crossing_within(written(some, "near-open"), percent) for some in (small, heavy.select(*small.columns))]
     return pairs[0].union(pairs[1]).distinct()
 
 
@@ -260,12 +336,18 @@ def crossing_within(open_lists: DataFrame, percent: int) -> DataFrame:
     reach = {s: F.element_at(f"{s}.reach", m).cast("int") for s in "lr"}
     least = percent * F.expr("l.n + r.n")
     apart = F.expr(" + ".join(f"bit_count(l.parity[{i}] ^ r.parity[{i}])" for i in range(SKETCH)))
+    settled = [
+        ((F.col("l.at") > F.col(f"l.last_{p}")) | (F.col("r.at") > F.col(f"r.last_{p}")))
+        & ((100 + percent) * F.least(f"l.overlap_{p}", f"r.overlap_{p}") < least)
+        for p in PIVOTS
+    ]
     near = left.join(
         right,
         (F.col("l.token") == F.col("r.token"))
         & (F.col("l.root") != F.col("r.root"))
         & ((F.col("r.root") == F.col("r.main")) | (F.col("l.class") < F.col("r.class")))
         & (100 * F.least("l.n", "r.n") >= percent * F.greatest("l.n", "r.n"))
+        & ~(settled[0] | settled[1])
         & ((100 + percent) * apart <= (100 - percent) * F.expr("l.n + r.n")),
     )
     common = F.array_intersect(*(F.slice(f"{s}.head", F.lit(1), F.least(reach[s], F.lit(HEAD))) for s in "lr"))
@@ -319,9 +401,9 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, percent: int =
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     members = written(members_of(docs, shingle), "near-members")
     sets = written(prefixes(docs, shingle, percent), "near-sets")
-    links = written(verified(pivot_pairs(sets, percent), sets, percent), "near-links")
-    stars = written(components(links), "near-stars")
-    more = verified(crossing_pairs(sets, stars, percent), sets, percent)
+    overlaps = written(pivot_overlaps(sets, percent), "near-overlaps")
+    stars = written(components(pivot_links(overlaps, percent)), "near-stars")
+    more = verified(crossing_pairs(sets, overlaps, stars, percent), sets, percent)
     roots = merged(stars, more)
     ids = (
         members.where("class is not null")
