@@ -255,7 +255,7 @@ def score_texts(documents: DataFrame) -> DataFrame:
     seen = sums.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     ends = docs.where("train").count()
     tokens, distinct = (seen["n"] or 0) + ends, (seen["v"] or 0) + (1 if ends else 0)
-    counts = X.answers_of(word_blocks, lambda total: total, np.uint32, np.uint32)
+    counts = X.answers_of(word_blocks, lambda total: total, np.uint32, np.uint64)
     marks = blocks.groupBy("bucket").applyInArrow(answer, X.ANSWER_SCHEMA)
     answers = marks.withColumn("kind", F.lit(0)).union(counts.withColumn("kind", F.lit(1)))
 
@@ -275,7 +275,7 @@ def score_texts(documents: DataFrame) -> DataFrame:
             score[low:high] = np.add.reduceat(each, np.cumsum(size) - size)
         found, _ = words_in(table["text"], train)
         word, _ = X.distinct_sums(found.code)
-        count = X.answered(of[1], len(word), np.uint32)[np.searchsorted(word, found.code)] if len(word) else np.zeros(0)
+        count = X.answered(of[1], len(word), np.uint64)[np.searchsorted(word, found.code)] if len(word) else np.zeros(0)
         scale = math.log10(tokens + distinct + 1)
         each = np.concatenate(([0.0], np.cumsum(np.log10(count + 1.0) - scale)))
         known = np.concatenate(([0], np.cumsum(count > 0)))
