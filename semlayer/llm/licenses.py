@@ -10,7 +10,8 @@ A family is confirmed where a window of the paragraph holds LEAST_SHARE of the w
 or a whole identifier, and the classifier gives the window to that family; else where the whole
 paragraph is given to a family that has LEAST_SHARE of its trigrams.  A paragraph that a window, or
 the classifier by words of which templates have LEAST_SHARE, takes for a licence, and that is not
-confirmed, is reported as unknown.
+confirmed, is reported as unknown.  So is one that names a licence outside the families, or another
+version of theirs: no window that overlaps such a name confirms, nor does the whole paragraph.
 """
 
 from __future__ import annotations
@@ -63,8 +64,17 @@ IDENTIFIERS = {
     "mit": ("MIT License", "MIT Licence", "MIT licensed", "license MIT", "SPDX-License-Identifier: MIT"),
     "mpl-2.0": ("MPL-2.0", "MPL 2", "Mozilla Public License 2.0", "Mozilla Public License Version 2.0"),
 }
+# Names of licences that are none of the families, or other versions of theirs.  Fixed values.
+OTHERS = (
+    "LGPL", "LGPLv2", "LGPLv3", "GNU Lesser General Public License", "GNU Library General Public License", "GPL 2", "GPLv2",
+    "GPL version 2", "GNU General Public License version 2", "GNU General Public License v2", "ISC License", "ISC Licence",
+    "BSD-2-Clause", "2-Clause BSD", "Simplified BSD License", "MPL 1.1", "Mozilla Public License version 1.1", "Apache License version 1.1",
+    "CC BY-SA", "CC BY-ND", "CC BY-NC-SA", "CC BY-NC-ND", "Attribution-ShareAlike", "Attribution-NoDerivatives", "EUPL", "EPL 2.0",
+    "Eclipse Public License", "Artistic License", "zlib License", "WTFPL",
+)
 TEXTS = Path(__file__).resolve().parent / "licence_texts"
 FAMILIES = (*sorted(NOTICES), "unknown")
+UNKNOWN = len(FAMILIES) - 1
 CELLS = 1 << 11
 VARIANTS = 40
 MOST_NEGATIVES = 3000
@@ -194,7 +204,7 @@ def own_shares(found: W.Words, known: list[np.ndarray]) -> np.ndarray:
 
 
 def windows_of(found: W.Words) -> dict[int, list[Window]]:
-    """Of each paragraph: windows that hold enough of a notice, or a whole identifier."""
+    """Of each paragraph: windows that hold enough of a notice, a whole identifier, or another licence's name (UNKNOWN)."""
     out: dict[int, list[Window]] = {}
 
     def add(start: int, end: int, family: int, share: float) -> None:
@@ -206,6 +216,8 @@ def windows_of(found: W.Words) -> dict[int, list[Window]]:
         notices += [(k, np.unique(W.sequence_codes(c, 3))) for c in codes_of(list(NOTICES[family]))]
         for c in codes_of(list(IDENTIFIERS[family])):
             identifiers.setdefault(len(c), {})[W.whole_code(c)] = k
+    for c in codes_of(list(OTHERS)):
+        identifiers.setdefault(len(c), {})[W.whole_code(c)] = UNKNOWN
     for length, family_of in identifiers.items():
         codes = W.sequence_codes(found.code, length)
         at = in_sorted(np.array(sorted(family_of), np.uint64), codes)
@@ -280,7 +292,7 @@ def license_scan(documents: DataFrame) -> DataFrame:
             chances = softmax(scores(model.weights, found) / model.temperature)
             shares = own_shares(found, known)
             windows = windows_of(found)
-            flat = [w for p in windows for w in windows[p]]
+            flat = [w for p in windows for w in windows[p] if w.family != UNKNOWN]
             sure: dict[Window, float] = {}
             for low in range(0, len(flat), 512):
                 part = flat[low : low + 512]
@@ -291,7 +303,9 @@ def license_scan(documents: DataFrame) -> DataFrame:
             known_words = np.bincount(np.searchsorted(found.first, in_sorted(model.words, found.code), "right") - 1, minlength=len(count))
             like = (chances[:, -1] < LEAST_PROBABILITY) & (known_words >= LEAST_SHARE * count)
             for p in np.flatnonzero((count > 0) & (like | np.isin(np.arange(len(count)), list(windows)))).tolist():
-                own = sorted((w for w in windows.get(p, []) if w in sure), key=lambda w: (-w.share, w.start - w.end, -sure[w]))
+                others = [w for w in windows.get(p, []) if w.family == UNKNOWN]
+                apart = (w for w in windows.get(p, []) if all(w.end <= o.start or o.end <= w.start for o in others))
+                own = sorted((w for w in apart if w in sure), key=lambda w: (-w.share, w.start - w.end, -sure[w]))
                 kept: list[Window] = []
                 for w in own:
                     if all(w.family != k.family and (w.end <= k.start or k.end <= w.start) for k in kept):
@@ -299,7 +313,7 @@ def license_scan(documents: DataFrame) -> DataFrame:
                 rows += [(*lines[p][:2], FAMILIES[w.family], sure[w], w.share) for w in kept]
                 if not kept:
                     value, share = float(chances[p, top[p]]), float(shares[p, top[p]])
-                    confirmed = value >= LEAST_PROBABILITY and share >= LEAST_SHARE
+                    confirmed = value >= LEAST_PROBABILITY and share >= LEAST_SHARE and not others
                     rows.append((*lines[p][:2], FAMILIES[top[p]] if confirmed else "unknown", value, share))
             out: list[list] = [[] for _ in texts]
             for i, k, family, value, share in rows:
