@@ -19,9 +19,12 @@ import re
 import sys
 import types
 import zlib
+from collections.abc import Callable
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +36,10 @@ LENGTH = 4096
 END = 2
 DIMENSIONS = 3
 BITS = 8
-#: Bytes of units of either kind, with their ids, that a worker remembers; a unit's own cost beside its letters.
-REMEMBERED_BYTES, UNIT_BYTES = 48 << 20, 200
+#: Bytes of words, and of units, with their ids, that a worker remembers.
+REMEMBERED_BYTES = 12 << 20
+#: Units that are encoded in one call.
+UNITS_A_CALL = 8192
 #: A special token of the tokenizer, which always stands alone.
 SEPARATOR = "<|endoftext|>"
 SEED = 4096
@@ -74,13 +79,12 @@ def signs(vocabulary: int) -> np.ndarray:
     return np.random.default_rng(SEED).normal(size=(1024, DIMENSIONS))[cell]
 
 
-def curve_keys(ids: list[np.ndarray], directions: np.ndarray) -> np.ndarray:
-    """The Hilbert keys of some documents' hashed vectors; each has an id at least, its END."""
-    if not ids:
+def curve_keys(ids: np.ndarray, low: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """The Hilbert keys of documents ids[low[i]:low[i + 1]]; each has an id at least, its END."""
+    if len(low) < 2:
         return np.zeros(0, np.int64)
-    size = np.fromiter(map(len, ids), np.int64, len(ids))
-    sums = np.add.reduceat(directions[np.concatenate(ids) % len(directions)], np.cumsum(size) - size)
-    mean = sums / size[:, None]
+    sums = np.add.reduceat(directions[ids % len(directions)], low[:-1])
+    mean = sums / np.diff(low)[:, None]
     points = ((np.tanh(2.0 * mean) + 1) * (1 << (BITS - 1))).astype(np.int64)
     return hilbert_keys(np.clip(points, 0, (1 << BITS) - 1), BITS)
 
@@ -92,101 +96,183 @@ NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 BLANKS_TO_ONE = {"Regex": "\\s+"}
 UNIT_PATTERN = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
 UNITS = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\\t-\\r \x85\xa0{LETTERS}{NUMBERS}]+"
+    f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-\r \x85\xa0{LETTERS}{NUMBERS}]+"
 )
+#: What a word must not hold for that split: other scripts, or the form of a special token.
+OTHER = r"[^\x{0}-\x{ff}]|<\|"
 
 
-def units_of(text: str) -> list[str]:
-    """Parts of a text that the tokenizer encodes one by one.
+class Ids(NamedTuple):
+    """Ids of some strings one after another; those of string i are all[low[i]:low[i + 1]]."""
 
-    Texts of other scripts, or with the form of a special token, are split at blanks and line feeds
-    only, which never lie within a part; the tokenizer then splits further.
-    """
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return text.replace("\n", " ").split(" ")
-    return UNITS.findall(text.lower()) if "<|" not in text else text.replace("\n", " ").split(" ")
+    all: np.ndarray
+    low: np.ndarray
 
+    def at(self, index: np.ndarray) -> Ids:
+        """The ids of the strings of `index`, in that order."""
+        each = np.diff(self.low)[index]
+        low = np.concatenate((np.zeros(1, np.int64), np.cumsum(each)))
+        return Ids(self.all[np.arange(low[-1]) + np.repeat(self.low[index] - low[:-1], each)], low)
 
-class Remembered:
-    """Ids of units met again, and of units met once."""
+    def and_then(self, *more: Ids) -> Ids:
+        lows = [self.low]
+        for part in more:
+            lows.append(lows[-1][-1] + part.low[1:])
+        return Ids(np.concatenate([self.all, *(part.all for part in more)]), np.concatenate(lows))
 
-    def __init__(self):
-        self.often: dict[str, bytes] = {}
-        self.once: dict[str, bytes] = {}
 
-    def bound(self) -> None:
-        for units in (self.often, self.once):
-            if len(units) * UNIT_BYTES > REMEMBERED_BYTES or sum(map(len, units)) > REMEMBERED_BYTES:
-                units.clear()
+NO_IDS = Ids(np.zeros(0, "<u4"), np.zeros(1, np.int64))
+
+
+def ids_of(parts: list[list[int]]) -> Ids:
+    low = np.cumsum([0, *map(len, parts)], dtype=np.int64)
+    return Ids(np.fromiter((i for part in parts for i in part), "<u4", low[-1]), low)
+
+
+def between(ids: np.ndarray, mark: int, parts: int) -> Ids:
+    """The ids of so many parts that marks separate."""
+    marks = ids == mark if parts > 1 else np.zeros(len(ids), dtype=bool)
+    cut = np.flatnonzero(marks)
+    if len(cut) != parts - 1:
+        raise ValueError(f"{len(cut)} marks between {parts} parts")
+    return Ids(ids[~marks], np.concatenate(([0], cut - np.arange(len(cut)), [len(ids) - len(cut)])))
+
+
+class Remembered:
+    """Ids of strings; beyond a bound, those that were met again since the last time stay.
+
+    The first string is one that no text yields, with the ids given for it.
+    """
 
+    def __init__(self, first: str, ids: list[int]):
+        self.keys, self.ids, self.again = pa.array([first], pa.string()), ids_of([ids]), np.ones(1, dtype=bool)
 
-def remembered(path: str) -> Remembered:
-    """What a Python worker keeps of a tokenizer from task to task."""
+    def bound(self) -> None:
+        if self.keys.nbytes + sum(x.nbytes for x in self.ids) <= REMEMBERED_BYTES:
+            return
+        kept = np.flatnonzero(self.again)
+        if 2 * len(kept) > len(self.keys):
+            kept = kept[:1]
+        self.keys, self.ids = self.keys.take(pa.array(kept)), self.ids.at(kept)
+        self.again = np.zeros(len(kept), dtype=bool)
+        self.again[0] = True
+
+    def places(self, wanted: pa.Array, learned: Callable) -> np.ndarray:
+        """Which of its strings each distinct one of `wanted` is; learned(strings) gives the ids of new ones."""
+        self.bound()
+        found = pc.index_in(wanted, value_set=self.keys)
+        new = np.flatnonzero(found.is_null().to_numpy(zero_copy_only=False))
+        place = found.fill_null(0).to_numpy().astype(np.int64)
+        self.again[place] = True
+        place[new] = len(self.keys) + np.arange(len(new))
+        if len(new):
+            strings = wanted.take(pa.array(new))
+            self.ids = self.ids.and_then(learned(strings))
+            self.keys = pa.concat_arrays([self.keys, strings])
+            self.again = np.concatenate((self.again, np.zeros(len(new), dtype=bool)))
+        return place
+
+
+def remembered(path: str) -> tuple[Remembered, Remembered]:
+    """What a Python worker keeps of a tokenizer from task to task: words, and units."""
     state = sys.modules.setdefault("semlayer_worker_state", types.ModuleType("semlayer_worker_state"))
     kept = state.__dict__.setdefault("units", {})
     if path not in kept:
         kept.clear()
-        kept[path] = Remembered()
+        kept[path] = Remembered(" ", [END]), Remembered("\n", [])
     return kept[path]
 
 
 def split_as_units(tokenizer) -> bool:
-    """Whether a tokenizer lower-cases and splits texts as `units_of` does."""
-    described = json.loads(tokenizer.to_str())
-    steps = (described.get("normalizer") or {}).get("normalizers", [])
-    splits = (described.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    """Whether a tokenizer lower-cases and splits words as UNITS does, each byte a letter of its model."""
+    if tokenizer.normalizer is None or tokenizer.pre_tokenizer is None:
+        return False
+    steps = json.loads(tokenizer.normalizer.__getstate__()).get("normalizers", [])
+    splits = json.loads(tokenizer.pre_tokenizer.__getstate__()).get("pretokenizers", [])
     if [step["type"] for step in steps] != ["NFC", "Replace", "Lowercase"] or steps[1]["pattern"] != BLANKS_TO_ONE:
         return False
-    return len(splits) == 2 and splits[0].get("pattern") == UNIT_PATTERN and splits[1]["type"] == "ByteLevel"
+    if len(splits) != 2 or splits[0].get("pattern") != UNIT_PATTERN or splits[1]["type"] != "ByteLevel":
+        return False
+    return not splits[1]["add_prefix_space"] and not splits[1].get("use_regex", True)
+
+
+def strings_of(strings: pa.Array) -> list[str]:
+    return strings.to_numpy(zero_copy_only=False).tolist()
 
 
 class UnitEncoder:
-    """Ids of whole texts, from ids of their units where the tokenizer splits texts into such units."""
+    """Ids of whole texts, from ids of their distinct words where the tokenizer splits texts into units.
+
+    No unit goes across ASCII white space, so each distinct word is encoded once.  Words of other scripts, or
+    with the form of a special token, go through the whole tokenizer; the others are split and
+    lower-cased here, and their distinct units meet the tokenizer's model alone.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Split
 
         self.tokenizer = Tokenizer.from_file(path)
         self.by_units = split_as_units(self.tokenizer)
         self.separator = self.tokenizer.token_to_id(SEPARATOR)
-        self.known = remembered(path)
-
-    def _learn(self, units: list[str]) -> None:
-        """Encode units in one call; the separator's id shows where each ends."""
-        (coded,) = self.tokenizer.encode_batch_fast([SEPARATOR.join(units)], add_special_tokens=False)
-        ids = np.array(coded.ids, "<u4")
-        cut = np.flatnonzero(ids == self.separator) if len(units) > 1 else np.zeros(0, np.int64)
-        low, data = [0, *(4 * (cut + 1)).tolist()], ids.tobytes()
-        for unit, a, b in zip(units, low, [*(4 * cut).tolist(), len(data)]):
-            self.known.once[unit] = data[a:b]
+        self.words, self.units = remembered(path)
+        if self.by_units:
+            level = ByteLevel(add_prefix_space=False, use_regex=False)
+            self.letters = {c: "".join(part for part, _ in level.pre_tokenize_str(chr(c))) for c in range(256)}
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = Split(self.letters[10], "isolated")
+            (self.mark,) = self.model.encode(self.letters[10], add_special_tokens=False).ids
+
+    def _whole(self, words: list[str]) -> Ids:
+        """Ids of words by the whole tokenizer; the separator's id shows where each ends."""
+        (coded,) = self.tokenizer.encode_batch_fast([SEPARATOR.join(words)], add_special_tokens=False)
+        return between(np.array(coded.ids, "<u4"), self.separator, len(words))
+
+    def _of_units(self, units: pa.Array) -> Ids:
+        """Ids of units by the model; the line feed's id shows where each ends."""
+        ids = []
+        for low in range(0, len(units), UNITS_A_CALL):
+            some = strings_of(units[low : low + UNITS_A_CALL])
+            (coded,) = self.model.encode_batch_fast(["\n".join(some).translate(self.letters)], add_special_tokens=False)
+            ids.append(between(np.array(coded.ids, "<u4"), self.mark, len(some)))
+        return NO_IDS.and_then(*ids)
+
+    def _of_words(self, words: pa.Array) -> Ids:
+        """Ids of distinct words."""
+        other = pc.match_substring_regex(words, OTHER).to_numpy(zero_copy_only=False)
+        plain = strings_of(words.filter(pa.array(~other)))
+        split = pa.array(UNITS.findall("\n".join([*plain, ""]).lower()) if plain else [], pa.string()).dictionary_encode()
+        units = self.units.places(split.dictionary, self._of_units)[split.indices.to_numpy()]
+        laid = self.units.ids.at(units)
+        ids = Ids(laid.all, np.concatenate(([0], laid.low[1:][units == 0])))
+        if not other.any():
+            return ids
+        rest = strings_of(words.filter(pa.array(other)))
+        apart = [w for w in rest if SEPARATOR in w]
+        joined = [w for w in rest if SEPARATOR not in w]
+        ids = ids.and_then(*([self._whole(joined)] if joined else []), *(self._whole([w]) for w in apart))
+        place = {w: i for i, w in enumerate([*joined, *apart], len(plain))}
+        index = np.cumsum(~other) - 1
+        index[other] = [place[w] for w in rest]
+        return ids.at(index)
+
+    def coded(self, texts: pa.Array) -> Ids:
+        """Ids of each text and END."""
+        texts = pc.fill_null(texts, "")
+        if not self.by_units:
+            coded = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
+            return ids_of([[*one.ids, END] for one in coded])
+        split = pc.ascii_split_whitespace(texts)
+        words, bounds = split.flatten().dictionary_encode(), split.offsets.to_numpy().astype(np.int64)
+        place = self.words.places(words.dictionary, self._of_words)
+        ids, low = self.words.ids.at(np.insert(place[words.indices.to_numpy()], bounds[1:], 0))
+        return Ids(ids, low[bounds + np.arange(len(bounds))])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text and END, as 32-bit little-endian numbers."""
-        end = np.array([END], "<u4").tobytes()
-        if not self.by_units:
-            coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(one.ids, "<u4").tobytes() + end for one in coded]
-        split = [units_of(t) for t in texts]
-        wanted = set().union(*split)
-        often, once = self.known.often, self.known.once
-        ids = {u: often[u] for u in wanted if u in often}
-        rest = wanted.difference(ids)
-        again = {u: once.pop(u) for u in rest.intersection(once)}
-        self.known.bound()
-        often.update(again)
-        new = rest.difference(again)
-        plain = [u for u in new if SEPARATOR not in u]
-        for low in range(0, len(plain), 8192):
-            self._learn(plain[low : low + 8192])
-        for unit in new:
-            if SEPARATOR in unit:
-                self._learn([unit])
-        ids.update(again)
-        ids.update((u, once[u]) for u in new)
-        return [b"".join([*map(ids.__getitem__, units), end]) for units in split]
+        ids, low = self.coded(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(low[:-1], low[1:])]
 
 
 TOKENS = "doc_id bigint, curve bigint, doc_tokens bigint, ids binary"
@@ -198,15 +284,16 @@ def tokenized(documents: DataFrame, path: str) -> DataFrame:
     def run(batches):
         encoder, directions = UnitEncoder(path), signs(1 << 16)
         for batch in (part for whole in batches for part in text_slices(whole, most=3 * MB)):
-            ids = encoder.encode([t or "" for t in batch["text"].to_pylist()])
-            key = curve_keys([np.frombuffer(x, "<u4") for x in ids], directions)
+            ids, low = encoder.coded(batch["text"])
+            key = curve_keys(ids, low, directions)
             salt = batch["salt"].to_numpy() & ((1 << 32) - 1)
+            buffers = [None, pa.py_buffer((4 * low).astype(np.int32)), pa.py_buffer(ids)]
             yield pa.record_batch(
                 {
                     "doc_id": batch["doc_id"],
                     "curve": pa.array((key << 32) | salt, pa.int64()),
-                    "doc_tokens": pa.array([len(x) // 4 for x in ids], pa.int64()),
-                    "ids": pa.array(ids, pa.binary()),
+                    "doc_tokens": pa.array(np.diff(low)),
+                    "ids": pa.Array.from_buffers(pa.binary(), batch.num_rows, buffers),
                 }
             )
 
