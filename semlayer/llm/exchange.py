@@ -45,20 +45,31 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", most: int = 2 * MB)
         low = high
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers live on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not the C library of GNU
+        pass
+
+
 def given_back(run: Callable) -> Callable:
-    """A function of batches that returns freed memory to the system at its end: Python workers live on."""
+    """A function of batches that returns freed memory to the system at its end."""
 
     def wrapped(batches):
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        try:
-            ctypes.CDLL(None).malloc_trim(0)
-        except (AttributeError, OSError):  # not the C library of GNU
-            pass
+        give_back()
 
     return wrapped
 
 
+def list_column(values: list[np.ndarray]) -> pa.ListArray:
+    """A column of lists of 64-bit numbers from arrays, without an object for each number."""
+    low = np.cumsum([0, *map(len, values)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(low), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
+
+
 def batch_count(spark: SparkSession, total: int) -> int:
     """Batches of 4 to 64 MB of text, and enough of them to occupy every shuffle partition."""
     size = min(64 * MB, max(4 * MB, total // 4096))
@@ -138,7 +149,10 @@ def blocks_of(dealt: DataFrame, extract: Callable, buckets: int, kind: type) ->
 
     def make(table: pa.Table) -> pa.Table:
         keys, weights = extract(table)
-        return block_rows(table["batch"][0].as_py(), keys, weights.astype(kind), buckets)
+        rows = block_rows(table["batch"][0].as_py(), keys, weights.astype(kind), buckets)
+        del keys, weights
+        give_back()
+        return rows
 
     return dealt.groupBy("batch").applyInArrow(make, BLOCK_SCHEMA)
 

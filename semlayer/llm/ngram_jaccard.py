@@ -103,7 +103,7 @@ def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and the code of the set (null if empty) of each row."""
 
     def run(batches):
-        for batch in batches:
+        for batch in (part for whole in batches for part in X.text_slices(whole)):
             sets = shingle_sets(W.texts_of(batch["text"], lower=True), shingle)
             yield pa.record_batch(
                 {
@@ -113,7 +113,7 @@ def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 }
             )
 
-    return docs.mapInArrow(run, "doc_id bigint, n_shingles bigint, class bigint")
+    return docs.mapInArrow(X.given_back(run), "doc_id bigint, n_shingles bigint, class bigint")
 
 
 def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -130,7 +130,7 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def first_of_class(tables):
         seen: set[int] = set()
-        for table in tables:
+        for table in (part for whole in tables for part in X.text_slices(whole)):
             keep, codes = [], []
             for i, s in enumerate(shingle_sets(W.texts_of(table["text"], lower=True), shingle)):
                 if len(s) and (code := set_code(s)) not in seen:
@@ -144,12 +144,10 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             )
 
     def classes(table: pa.Table) -> dict[int, np.ndarray]:
-        seen: dict[int, int] = {}
-        for i, code in enumerate(table["class"].to_pylist()):
-            seen.setdefault(code, i)
-        at = sorted(seen.values(), key=lambda i: table["class"][i].as_py())
-        chosen = table.take(pa.array(at, pa.int64()))
-        return dict(zip(chosen["class"].to_pylist(), shingle_sets(W.texts_of(chosen["text"], lower=True), shingle)))
+        code, at = np.unique(table["class"].to_numpy(), return_index=True)
+        texts = table.select(["text"]).take(pa.array(at)).to_batches()
+        slices = (part["text"] for whole in texts for part in X.text_slices(whole))
+        return dict(zip(code.tolist(), (own for text in slices for own in shingle_sets(W.texts_of(text, lower=True), shingle))))
 
     def extract(table: pa.Table):
         return X.distinct_sums(np.concatenate(list(classes(table).values())))
@@ -158,7 +156,8 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         sets = classes(table)
         keys = np.unique(np.concatenate(list(sets.values())))
         frequency = X.answered(answers, len(keys), np.uint64)
-        rows = []
+        single = {name: [] for name in ("class", "n", "level", "weight")}
+        lists = {name: [] for name in ("tokens", "place", "reach", "shared", "parity")}
         for code, codes in sets.items():
             own = frequency[np.searchsorted(keys, codes)]
             if own.max() < 2:
@@ -167,25 +166,18 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             level, lengths = choose_prefix(own[order], percent)
             place = np.arange(lengths[level - 1])[own[order][: lengths[level - 1]] > 1]
             if len(place):
-                rows.append(
-                    {
-                        "class": code,
-                        "n": len(codes),
-                        "level": level,
-                        "tokens": W.long_id(codes[order[place]]).tolist(),
-                        "place": place.tolist(),
-                        "reach": np.searchsorted(place, lengths[:level]).tolist(),
-                        "shared": W.long_id(codes[order[own[order] > 1]]).tolist(),
-                        "weight": float(own.sum(dtype=np.int64)) / len(codes),
-                        "parity": parity_bits(codes),
-                    }
-                )
-        longs = pa.list_(pa.int64())
-        kinds = [("class", pa.int64()), ("n", pa.int64()), ("level", pa.int64()), ("weight", pa.float64())]
-        kinds += [(name, longs) for name in ("tokens", "place", "reach", "shared", "parity")]
-        return pa.Table.from_pylist(rows, pa.schema(kinds))
-
-    dealt = docs.select("text").mapInArrow(first_of_class, "batch bigint, class bigint, text string")
+                weight = float(own.sum(dtype=np.int64)) / len(codes)
+                for name, value in zip(single, (code, len(codes), level, weight)):
+                    single[name].append(value)
+                shared = W.long_id(codes[order[own[order] > 1]])
+                reach = np.searchsorted(place, lengths[:level])
+                tokens = W.long_id(codes[order[place]])
+                for name, values in zip(lists, (tokens, place, reach, shared, np.array(parity_bits(codes)))):
+                    lists[name].append(values)
+        columns = {name: pa.array(values, pa.float64() if name == "weight" else pa.int64()) for name, values in single.items()}
+        return pa.table(columns | {name: X.list_column(values) for name, values in lists.items()})
+
+    dealt = docs.select("text").mapInArrow(X.given_back(first_of_class), "batch bigint, class bigint, text string")
     blocks = X.blocks_of(dealt, extract, buckets, np.uint32)
     answers = X.answers_of(blocks, lambda total: total, np.uint32, np.uint64)
     return (
