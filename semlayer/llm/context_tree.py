@@ -32,7 +32,7 @@ from . import words as W
 from .components import written
 
 DEPTH = 5
-SEGMENT = 2 << 20
+SEGMENT = 1 << 20
 LOG_HALF = math.log(0.5)
 U8 = np.uint64(8)
 
@@ -64,14 +64,15 @@ def streams(column) -> list[bytes]:
 def sequences(parts: list[bytes]) -> np.ndarray:
     """Of every byte: its DEPTH predecessors, nearest first, and itself, as one number."""
     pad = b"\0" * DEPTH
-    data = np.frombuffer(pad + pad.join(parts), np.uint8).astype(np.uint64)
-    code = np.zeros(len(data) - DEPTH, np.uint64)
-    for back in range(1, DEPTH + 1):
-        code = (code << U8) | data[DEPTH - back : len(data) - back]
-    code = (code << U8) | data[DEPTH:]
-    size = np.array([len(p) for p in parts])
-    begin = np.cumsum(size + DEPTH) - size - DEPTH
-    return code[np.repeat(begin, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)]
+    data = pad + pad.join(parts) + b"\0" * 8
+    n = len(data) - DEPTH - 8
+    # Eight bytes from each position on, the first in the lowest place: the nearest of DEPTH is the highest.
+    before = np.ndarray(n, "<u8", data, strides=(1,)) & np.uint64((1 << 8 * DEPTH) - 1)
+    code = (before << U8) | np.frombuffer(data, np.uint8)[DEPTH : DEPTH + n]
+    own = np.ones(n, dtype=bool)
+    begin = np.cumsum([len(p) + DEPTH for p in parts])[:-1]
+    own[(begin[:, None] - np.arange(1, DEPTH + 1)).ravel()] = False
+    return code[own]
 
 
 def segments(parts: list[bytes]):
@@ -271,11 +272,11 @@ def score_texts(documents: DataFrame) -> DataFrame:
         score = np.empty(len(parts))
         for low, high in segments(parts):
             size = np.array([len(p) for p in parts[low:high]])
-            each = value[np.searchsorted(keys, sequences(parts[low:high]))]
+            each = X.looked_up(keys, value, sequences(parts[low:high]))
             score[low:high] = np.add.reduceat(each, np.cumsum(size) - size)
         found, _ = words_in(table["text"], train)
         word, _ = X.distinct_sums(found.code)
-        count = X.answered(of[1], len(word), np.uint64)[np.searchsorted(word, found.code)] if len(word) else np.zeros(0)
+        count = X.looked_up(word, X.answered(of[1], len(word), np.uint64), found.code)
         scale = math.log10(tokens + distinct + 1)
         each = np.concatenate(([0.0], np.cumsum(np.log10(count + 1.0) - scale)))
         known = np.concatenate(([0], np.cumsum(count > 0)))

@@ -125,6 +125,22 @@ def distinct_sums(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[
     return keys[at], np.add.reduceat(weights.astype(np.int64), at)
 
 
+def looked_up(keys: np.ndarray, values: np.ndarray, codes: np.ndarray, most: int = 1 << 18) -> np.ndarray:
+    """The value of each code, by its place among the sorted distinct keys, which hold it.
+
+    `most` codes at a time are sorted first: equal ones are searched once, and the search passes the
+    keys in order instead of anywhere in memory.
+    """
+    found = np.empty(len(codes), values.dtype)
+    for low in range(0, len(codes), most):
+        at = np.argsort(codes[low : low + most])
+        run = codes[low : low + most][at]
+        head = np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))
+        each = values[np.searchsorted(keys, run[head])]
+        found[low : low + most][at] = np.repeat(each, np.diff(head, append=len(run)))
+    return found
+
+
 def block_rows(batch: int, keys: np.ndarray, weights: np.ndarray, buckets: int) -> pa.Table:
     """One row for each bucket that has keys of this batch."""
     cut = cuts(keys, buckets)

@@ -20,7 +20,8 @@ BYTE_BASE = 0x9E3779B97F4A7C15
 WORD_BASE = 0xD1342543DE82EF95
 SEED = 20260801
 PRIME = (1 << 31) - 1
-SEGMENT_BYTES = 1 << 20
+#: Bytes of text, or words, hashed at a time: their arrays stay in the cache.
+SEGMENT = 1 << 15
 
 #: Bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -95,7 +96,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, ...]:
     """base**i and base**-i for i up to n, modulo 2**64 and modulo PRIME."""
     have = _tables.get(base)
     if have is None or len(have[0]) <= n:
-        size = max(n + 1, SEGMENT_BYTES)
+        size = max(n + 1, 2 * SEGMENT)
         up, down = np.empty(size, np.uint64), np.empty(size, np.uint64)
         up[0] = down[0] = 1
         up[1:] = np.uint64(base)
@@ -116,29 +117,37 @@ def _prime_powers(base: int, n: int) -> np.ndarray:
     return powers.astype(np.uint32)
 
 
+def folded(x: np.ndarray) -> np.ndarray:
+    """A number of at most 34 bits (32 for x below 2**62, and after a second fold) with the same remainder."""
+    return (x & np.uint64(PRIME)) + (x >> np.uint64(31))
+
+
 def remainder(x: np.ndarray) -> np.ndarray:
     """x modulo PRIME, where a power of two is one less than the prime plus two: shifts do."""
-    prime, bits = np.uint64(PRIME), np.uint64(31)
-    x = (x & prime) + (x >> bits)
-    x = (x & prime) + (x >> bits)
-    return np.where(x >= prime, x - prime, x)
+    x = folded(folded(x))
+    return np.minimum(x, x - np.uint64(PRIME))  # below PRIME the difference wraps
+
 
+def _runs(values: np.ndarray, residues: np.ndarray, base: int, start, end, length) -> np.ndarray:
+    """A hash of values[start:end] for each pair of indexes (arrays, or two slices of one length).
 
-def _runs(values: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each pair; equal for equal runs, wherever they start."""
+    Equal for equal runs, wherever they start; residues are the values modulo PRIME, of at most 32 bits.
+    """
     up, down, prime_up, prime_down = _powers(base, len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
     np.cumsum(values * up[: len(values)], out=sums[1:])
-    wrapping = (sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64)
-    np.cumsum(remainder(remainder(values) * prime_up[: len(values)]), out=sums[1:])
-    prime = remainder(remainder(sums[end] - sums[start]) * prime_down[start])
+    wrapping = (sums[end] - sums[start]) * down[start] + length
+    np.cumsum(folded(residues * prime_up[: len(values)]), out=sums[1:])
+    prime = remainder(folded(folded(sums[end] - sums[start])) * prime_down[start])
     # An odd multiple of the remainder: one sum for two remainders is impossible.
     return mixed(wrapping + prime * np.uint64(BYTE_BASE))
 
 
-def _byte_values() -> np.ndarray:
+def _byte_values() -> tuple[np.ndarray, np.ndarray]:
+    """The values of the 256 bytes, and their remainders."""
     if SEED not in _tables:
-        _tables[SEED] = np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        values = np.random.default_rng(SEED).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+        _tables[SEED] = values, remainder(values)
     return _tables[SEED]
 
 
@@ -160,14 +169,15 @@ def words_of(texts: Texts, table: np.ndarray = BLANK_TABLE) -> Words:
     start = np.flatnonzero(inside & (before | edge[:-1]))
     end = np.flatnonzero(inside & (after | edge[1:])) + 1
     first = np.searchsorted(start, bounds)
-    values = _byte_values()
+    values, residues = _byte_values()
     code = np.empty(len(start), np.uint64)
     done = 0
     while done < len(start):
         low = start[done]
-        upto = max(done + 1, int(np.searchsorted(end, low + SEGMENT_BYTES, "right")))
-        high = end[upto - 1]
-        code[done:upto] = _runs(values[data[low:high]], BYTE_BASE, start[done:upto] - low, end[done:upto] - low)
+        upto = max(done + 1, int(np.searchsorted(end, low + SEGMENT, "right")))
+        own, own_start, own_end = data[low : end[upto - 1]], start[done:upto], end[done:upto]
+        size = (own_end - own_start).astype(np.uint64)
+        code[done:upto] = _runs(values[own], residues[own], BYTE_BASE, own_start - low, own_end - low, size)
         done = upto
     return Words(start, end, code, first)
 
@@ -178,11 +188,12 @@ def sequence_codes(code: np.ndarray, length: int) -> np.ndarray:
     if n <= 0:
         return np.zeros(0, np.uint64)
     out = np.empty(n, np.uint64)
-    step = SEGMENT_BYTES
+    step = max(SEGMENT, length)
     for low in range(0, n, step):
         high = min(n, low + step)
-        at = np.arange(high - low)
-        out[low:high] = _runs(code[low : high + length - 1], WORD_BASE, at, at + length)
+        own = code[low : high + length - 1]
+        ends = slice(length, length + high - low)
+        out[low:high] = _runs(own, folded(folded(own)), WORD_BASE, slice(0, high - low), ends, np.uint64(length))
     return out
 
 
