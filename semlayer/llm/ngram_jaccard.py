@@ -58,9 +58,11 @@ def shingle_sets(texts: W.Texts, shingle: int) -> list[np.ndarray]:
     found = W.words_of(texts)
     codes = W.sequence_codes(found.code, shingle)
     sets = []
-    for low, high in zip(found.first[:-1], found.first[1:]):
+    for low, high in zip(found.first[:-1].tolist(), found.first[1:].tolist()):
         if high - low >= shingle:
-            sets.append(np.unique(codes[low : high - shingle + 1]))
+            own = codes[low : high - shingle + 1]
+            own.sort()
+            sets.append(own[np.concatenate(([True], own[1:] != own[:-1]))])
         elif high > low:
             sets.append(np.array([W.whole_code(found.code[low:high])], np.uint64))
         else:
@@ -68,10 +70,22 @@ def shingle_sets(texts: W.Texts, shingle: int) -> list[np.ndarray]:
     return sets
 
 
+def set_codes(sets: list[np.ndarray]) -> list[int | None]:
+    """One 64-bit code of each set, as a signed number; null for an empty one."""
+    size = np.array([len(s) for s in sets], np.int64)
+    full = np.flatnonzero(size)
+    out: list[int | None] = [None] * len(sets)
+    if len(full):
+        begin = (np.cumsum(size) - size)[full]
+        total = np.add.reduceat(W.mixed(np.concatenate(sets) ^ np.uint64(0x9E3779B97F4A7C15)), begin)
+        for i, code in zip(full.tolist(), W.long_id(W.mixed(total + size[full].astype(np.uint64))).tolist()):
+            out[i] = code
+    return out
+
+
 def set_code(codes: np.ndarray) -> int:
-    """One 64-bit code of a set, as a signed number."""
-    total = W.mixed(codes ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    return int(W.mixed(np.array([total], np.uint64) + np.uint64(len(codes))).view(np.int64)[0])
+    """The code of one set that is not empty."""
+    return set_codes([codes])[0]
 
 
 def parity_bits(codes: np.ndarray) -> list[int]:
@@ -93,10 +107,11 @@ def choose_prefix(frequency: np.ndarray, percent: int) -> tuple[int, list[int]]:
     """m of least estimated cost for shingle frequencies in rarity order, and prefix lengths by m."""
     n = len(frequency)
     need = required(n, percent)
-    lengths = [min(n, n - need + m) for m in range(1, MOST_MATCHES + 1)]
-    scanned = np.concatenate(([0], np.cumsum(frequency.astype(np.int64) - 1)))
-    cost = [scanned[lengths[m - 1]] * (1 + VERIFY_COST / m) for m in range(1, min(MOST_MATCHES, need) + 1)]
-    return int(np.argmin(cost)) + 1, lengths
+    matches = np.arange(1, MOST_MATCHES + 1)
+    lengths = np.minimum(n, n - need + matches)
+    scanned = np.cumsum(frequency[: lengths[-1]].astype(np.int64) - 1)
+    cost = (scanned[lengths - 1] * (1 + VERIFY_COST / matches))[:need]
+    return int(np.argmin(cost)) + 1, lengths.tolist()
 
 
 def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -109,7 +124,7 @@ def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                 {
                     "doc_id": batch["doc_id"],
                     "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
-                    "class": pa.array([set_code(s) if len(s) else None for s in sets], pa.int64()),
+                    "class": pa.array(set_codes(sets), pa.int64()),
                 }
             )
 
@@ -132,8 +147,8 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         seen: set[int] = set()
         for table in (part for whole in tables for part in X.text_slices(whole)):
             keep, codes = [], []
-            for i, s in enumerate(shingle_sets(W.texts_of(table["text"], lower=True), shingle)):
-                if len(s) and (code := set_code(s)) not in seen:
+            for i, code in enumerate(set_codes(shingle_sets(W.texts_of(table["text"], lower=True), shingle))):
+                if code is not None and code not in seen:
                     seen.add(code)
                     keep.append(i)
                     codes.append(code)
@@ -154,22 +169,24 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
         sets = classes(table)
-        keys = np.unique(np.concatenate(list(sets.values())))
-        frequency = X.answered(answers, len(keys), np.uint64)
+        codes = np.concatenate(list(sets.values()))
+        keys, _ = X.distinct_sums(codes)
+        frequency = X.looked_up(keys, X.answered(answers, len(keys), np.uint64), codes)
+        ends = np.cumsum([len(s) for s in sets.values()])[:-1]
         single = {name: [] for name in ("class", "n", "level", "weight")}
         lists = {name: [] for name in ("tokens", "place", "reach", "shared", "parity")}
-        for code, codes in sets.items():
-            own = frequency[np.searchsorted(keys, codes)]
+        for (code, codes), own in zip(sets.items(), np.split(frequency, ends)):
             if own.max() < 2:
                 continue
             order = np.lexsort((codes, own))
-            level, lengths = choose_prefix(own[order], percent)
-            place = np.arange(lengths[level - 1])[own[order][: lengths[level - 1]] > 1]
+            own = own[order]
+            level, lengths = choose_prefix(own, percent)
+            place = np.flatnonzero(own[: lengths[level - 1]] > 1)
             if len(place):
                 weight = float(own.sum(dtype=np.int64)) / len(codes)
                 for name, value in zip(single, (code, len(codes), level, weight)):
                     single[name].append(value)
-                shared = W.long_id(codes[order[own[order] > 1]])
+                shared = W.long_id(codes[order[own > 1]])
                 reach = np.searchsorted(place, lengths[:level])
                 tokens = W.long_id(codes[order[place]])
                 for name, values in zip(lists, (tokens, place, reach, shared, np.array(parity_bits(codes)))):
