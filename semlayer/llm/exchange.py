@@ -107,22 +107,34 @@ def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate(([0], np.searchsorted(keys, edges), [len(keys)]))
 
 
-def distinct_sums(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct keys and the sum of the weights of each (without weights, its count)."""
+def distinct_sums(keys: np.ndarray, weights: np.ndarray | None = None, own: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sum of the weights of each (without weights, its count).
+
+    With `own`, keys without weights are sorted in place: nobody else reads them.
+    """
     if len(keys) == 0:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if weights is None:
-        keys = np.sort(keys)
+        if own:
+            keys.sort()
+        else:
+            keys = np.sort(keys)
     else:
         order = np.argsort(keys, kind="stable")
         keys, weights = keys[order], weights[order]
+        del order
     head = np.empty(len(keys), dtype=bool)
     head[0] = True
     np.not_equal(keys[1:], keys[:-1], out=head[1:])
     at = np.flatnonzero(head)
-    if weights is None:
-        return keys[at], np.diff(np.append(at, len(keys)))
-    return keys[at], np.add.reduceat(weights.astype(np.int64), at)
+    del head
+    distinct = keys[at]
+    if weights is not None:
+        return distinct, np.add.reduceat(weights, at, dtype=np.int64)
+    count = np.empty_like(at)
+    np.subtract(at[1:], at[:-1], out=count[:-1])
+    count[-1] = len(keys) - at[-1]
+    return distinct, count
 
 
 def looked_up(keys: np.ndarray, values: np.ndarray, codes: np.ndarray, most: int = 1 << 18) -> np.ndarray:
@@ -141,16 +153,28 @@ def looked_up(keys: np.ndarray, values: np.ndarray, codes: np.ndarray, most: int
     return found
 
 
+def planes_column(parts: Iterator[np.ndarray], cut: np.ndarray, kind: type) -> pa.Array:
+    """The byte planes of each part, as a binary column; part i has the values cut[i]:cut[i + 1] of all."""
+    width = np.dtype(kind).itemsize
+    data = np.empty(width * int(cut[-1]), np.uint8)
+    for values, low, high in zip(parts, cut[:-1].tolist(), cut[1:].tolist()):
+        data[width * low : width * high].reshape(width, -1)[:] = values.view(np.uint8).reshape(-1, width).T
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((width * cut).astype(np.int32)), pa.py_buffer(data)])
+
+
 def block_rows(batch: int, keys: np.ndarray, weights: np.ndarray, buckets: int) -> pa.Table:
     """One row for each bucket that has keys of this batch."""
     cut = cuts(keys, buckets)
     full = np.flatnonzero(cut[1:] > cut[:-1])
+    cut = np.append(cut[:-1][full], len(keys)).astype(np.int64)
+    spans = [slice(*ends) for ends in zip(cut[:-1].tolist(), cut[1:].tolist())]
+    steps = (np.diff(keys[own], prepend=np.uint64(0)) for own in spans)
     return pa.table(
         {
             "batch": pa.array(np.full(len(full), batch, np.int64)),
             "bucket": pa.array(full.astype(np.int64)),
-            "keys": pa.array([packed_keys(keys[cut[b] : cut[b + 1]]) for b in full], pa.binary()),
-            "weights": pa.array([planes(weights[cut[b] : cut[b + 1]]) for b in full], pa.binary()),
+            "keys": planes_column(steps, cut, np.uint64),
+            "weights": planes_column((weights[own] for own in spans), cut, weights.dtype),
         }
     )
 
@@ -165,7 +189,8 @@ def blocks_of(dealt: DataFrame, extract: Callable, buckets: int, kind: type) ->
 
     def make(table: pa.Table) -> pa.Table:
         keys, weights = extract(table)
-        rows = block_rows(table["batch"][0].as_py(), keys, weights.astype(kind), buckets)
+        weights = weights.astype(kind)
+        rows = block_rows(table["batch"][0].as_py(), keys, weights, buckets)
         del keys, weights
         give_back()
         return rows
@@ -177,13 +202,18 @@ def answers_of(blocks: DataFrame, answer: Callable, kind: type, out: type) -> Da
     """For each batch and bucket, answer(totals) of each key it sent, in the order of its keys."""
 
     def add_up(table: pa.Table) -> pa.Table:
-        parts = [unpacked_keys(x) for x in table["keys"].to_pylist()]
-        keys = np.concatenate(parts)
-        weights = np.concatenate([unplanes(x, kind) for x in table["weights"].to_pylist()])
-        distinct, total = distinct_sums(keys, weights)
+        distinct, total = distinct_sums(
+            np.concatenate([unpacked_keys(x.as_buffer()) for x in table["keys"]]),
+            np.concatenate([unplanes(x.as_buffer(), kind) for x in table["weights"]]),
+        )
         values = answer(total).astype(out)
-        sent = [planes(values[np.searchsorted(distinct, part)]) for part in parts]
-        return pa.table({"batch": table["batch"], "bucket": table["bucket"], "answers": pa.array(sent, pa.binary())})
+        del total
+        # Keys are unpacked again, a block at a time, rather than kept beside the sums.
+        sent = (planes(values[np.searchsorted(distinct, unpacked_keys(x.as_buffer()))]) for x in table["keys"])
+        rows = pa.table({"batch": table["batch"], "bucket": table["bucket"], "answers": pa.array(sent, pa.binary())})
+        del distinct, values, sent
+        give_back()
+        return rows
 
     return blocks.groupBy("bucket").applyInArrow(add_up, ANSWER_SCHEMA)
 

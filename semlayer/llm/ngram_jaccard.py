@@ -51,6 +51,8 @@ MOST_CARRIED = 512
 PIVOTS = ("low", "high")
 #: 64-bit numbers of a set's parity bits.
 SKETCH = 16
+#: Bytes of text whose words and shingles a worker holds at a time.
+SLICE = X.MB // 2
 
 
 def shingle_sets(texts: W.Texts, shingle: int) -> list[np.ndarray]:
@@ -83,6 +85,17 @@ def set_codes(sets: list[np.ndarray]) -> list[int | None]:
     return out
 
 
+def sets_of_classes(table: pa.Table, shingle: int) -> dict[int, np.ndarray]:
+    """The set of each class of a batch (class, text), of whose rows one is read, in their order."""
+    code, at = np.unique(table["class"].to_numpy(), return_index=True)
+    texts = table.select(["text"])
+    if len(at) < len(texts):
+        texts = texts.take(pa.array(np.sort(at)))
+    slices = (part["text"] for whole in texts.to_batches() for part in X.text_slices(whole, most=SLICE))
+    sets = (own for text in slices for own in shingle_sets(W.texts_of(text, lower=True), shingle))
+    return dict(zip(code[np.argsort(at)].tolist(), sets))
+
+
 def set_code(codes: np.ndarray) -> int:
     """The code of one set that is not empty."""
     return set_codes([codes])[0]
@@ -118,7 +131,7 @@ def members_of(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and the code of the set (null if empty) of each row."""
 
     def run(batches):
-        for batch in (part for whole in batches for part in X.text_slices(whole)):
+        for batch in (part for whole in batches for part in X.text_slices(whole, most=SLICE)):
             sets = shingle_sets(W.texts_of(batch["text"], lower=True), shingle)
             yield pa.record_batch(
                 {
@@ -145,7 +158,7 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     def first_of_class(tables):
         seen: set[int] = set()
-        for table in (part for whole in tables for part in X.text_slices(whole)):
+        for table in (part for whole in tables for part in X.text_slices(whole, most=SLICE)):
             keep, codes = [], []
             for i, code in enumerate(set_codes(shingle_sets(W.texts_of(table["text"], lower=True), shingle))):
                 if code is not None and code not in seen:
@@ -158,17 +171,16 @@ def prefixes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                 {"batch": pa.array(code % batches, pa.int64()), "class": pa.array(code), "text": kept["text"]}
             )
 
-    def classes(table: pa.Table) -> dict[int, np.ndarray]:
-        code, at = np.unique(table["class"].to_numpy(), return_index=True)
-        texts = table.select(["text"]).take(pa.array(at)).to_batches()
-        slices = (part["text"] for whole in texts for part in X.text_slices(whole))
-        return dict(zip(code.tolist(), (own for text in slices for own in shingle_sets(W.texts_of(text, lower=True), shingle))))
-
     def extract(table: pa.Table):
-        return X.distinct_sums(np.concatenate(list(classes(table).values())))
+        return X.distinct_sums(np.concatenate(list(sets_of_classes(table, shingle).values())), own=True)
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
-        sets = classes(table)
+        found = prefixes_of(table, answers)
+        X.give_back()
+        return found
+
+    def prefixes_of(table: pa.Table, answers: pa.Table) -> pa.Table:
+        sets = sets_of_classes(table, shingle)
         codes = np.concatenate(list(sets.values()))
         keys, _ = X.distinct_sums(codes)
         frequency = X.looked_up(keys, X.answered(answers, len(keys), np.uint64), codes)

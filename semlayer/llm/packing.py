@@ -359,5 +359,5 @@ def packed(documents: DataFrame, path: str, length: int = LENGTH, with_ids: bool
     return (
         dealt.repartition(partitions_of(spark), "slot")
         .sortWithinPartitions("slot", "curve", "doc_id", "ids")
-        .mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
+        .mapInArrow(given_back(run), PIECES + (", ids binary" if with_ids else ""))
     )
